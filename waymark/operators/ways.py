@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.units import cross, pack, packed_x, packed_y
+from waymark.schema import METERS_PER_UNIT
 from waymark.sources.tables import OsmTables
 
 
@@ -79,6 +80,12 @@ def way_summary(points: DataFrame) -> DataFrame:
                  *merged_bounds()))
 
 
+def way_area(points: DataFrame) -> DataFrame:
+    """(way_id, area_m2) enclosed by each way, closed by a straight edge if it is open."""
+    return way_summary(points).select("way_id", (
+        F.abs("area2") / 2 * METERS_PER_UNIT * METERS_PER_UNIT).alias("area_m2"))
+
+
 def way_edges(points: DataFrame) -> DataFrame:
     """(way_id, x1, y1, x2, y2), one row per pair of consecutive points."""
     inner = (_with_neighbours(points).where(F.col("nx").isNotNull())
