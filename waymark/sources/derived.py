@@ -32,20 +32,21 @@ def derived_tables(spark: SparkSession, path: str) -> OsmTables:
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{path}/{name}.parquet")
 
-    customer, region = read("customer"), read("region")
-    orders, lineitem, part = read("orders"), read("lineitem"), read("part")
-    nation = read("nation")
-    return OsmTables(
-        nodes=_nodes(part),
-        ways=_ways(orders, lineitem),
-        way_nodes=lineitem.select(
-            F.col("l_orderkey").alias("way_id"),
-            (F.col("l_linenumber").cast("long") * LINE_SPAN + F.col("l_partkey")).alias("seq"),
-            F.col("l_partkey").alias("node_id")),
-        relations=_relations(customer, region),
-        relation_members=_members(orders, customer, nation, region),
-        seq_span=LINE_SPAN,
-    )
+    return OsmTables(spark, {
+        "nodes": lambda: _nodes(read("part")),
+        "ways": lambda: _ways(read("orders"), read("lineitem")),
+        "way_nodes": lambda: _way_nodes(read("lineitem")),
+        "relations": lambda: _relations(read("customer"), read("region")),
+        "relation_members": lambda: _members(read("orders"), read("customer"), read("nation"),
+                                             read("region")),
+    }, seq_span=LINE_SPAN)
+
+
+def _way_nodes(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(
+        F.col("l_orderkey").alias("way_id"),
+        (F.col("l_linenumber").cast("long") * LINE_SPAN + F.col("l_partkey")).alias("seq"),
+        F.col("l_partkey").alias("node_id"))
 
 
 def _nodes(part: DataFrame) -> DataFrame:
@@ -124,55 +125,72 @@ def _members(orders, customer, nation, region) -> DataFrame:
         .unionByName(rows(in_region, region_id, cust + 1, RELATION, cust, F.lit("subarea"))))
 
 
+# The corners of an outline, and how a third of all keys each
+# cuts it into ways. Corner e moves up by the gap. The second way is reversed
+# for odd keys.
+CORNERS = {"a": (0, 0), "b": (1000, 0), "c": (1000, 1000), "d": (0, 1000), "e": (0, 0),
+           "p": (400, 400), "q": (600, 400), "r": (600, 600), "s": (400, 600)}
+CUTS = {0: ["abcde"], 1: ["abc", "cde"], 2: ["ab", "bc", "cd", "de"]}
+HOLE = "pqrsp"
+
+
 def ring_tables(spark: SparkSession, path: str) -> OsmTables:
     """One area relation per customer whose area is known in closed form.
 
     The outline is a square of side 1000 (with a gap of 0, 50 or 500 before
     its start), cut into 1, 2 or 4 outer ways; every fifth has a square hole.
     """
-    customer = spark.read.parquet(f"{path}/customer.parquet")
     k = F.col("c_custkey")
-    gap = F.when(k % 11 == 0, 500).when(k % 7 == 0, 50).otherwise(0)
-    x0, y0 = (k % 1000) * 5000, F.floor(k / 1000) * 5000
-
-    def at(dx, dy):
-        return F.struct((x0 + dx).cast("int").alias("x"), (y0 + dy).cast("int").alias("y"))
-
-    def way(role, *points):
-        return F.struct(F.lit(role).alias("role"), F.array(*points).alias("points"))
-
-    a, b, c, d, e = at(0, 0), at(1000, 0), at(1000, 1000), at(0, 1000), at(0, gap)
-    odd = k % 2 == 1
-    outlines = (
-        F.when(k % 3 == 0, F.array(way("outer", a, b, c, d, e)))
-        .when((k % 3 == 1) & odd, F.array(way("outer", a, b, c), way("outer", e, d, c)))
-        .when(k % 3 == 1, F.array(way("outer", a, b, c), way("outer", c, d, e)))
-        .when(odd, F.array(way("outer", a, b), way("outer", c, b),
-                           way("outer", c, d), way("outer", d, e)))
-        .otherwise(F.array(way("outer", a, b), way("outer", b, c),
-                           way("outer", c, d), way("outer", d, e))))
-    hole = way("inner", at(400, 400), at(600, 400), at(600, 600), at(400, 600), at(400, 400))
-    ways = customer.select(
-        k.alias("relation_id"), "c_name",
-        F.posexplode(F.when(k % 5 == 0, F.concat(outlines, F.array(hole))).otherwise(outlines))
-        .alias("seq", "way")).select(
-        "relation_id", F.col("seq").cast("long").alias("seq"),
-        (F.col("relation_id") * 8 + F.col("seq")).alias("way_id"),
-        F.col("way.role").alias("role"), F.col("way.points").alias("points"))
-    points = ways.select("way_id", F.posexplode("points").alias("seq", "p")).select(
-        "way_id", F.col("seq").cast("long").alias("seq"),
-        (F.col("way_id") * 8 + F.col("seq")).alias("node_id"),
-        F.col("p.x").alias("x"), F.col("p.y").alias("y"))
-    return OsmTables(
-        nodes=points.select(F.col("node_id").alias("id"), "x", "y", empty_tags().alias("tags")),
-        ways=ways.select(F.col("way_id").alias("id"), F.lit(False).alias("is_area"),
-                         empty_tags().alias("tags")),
-        way_nodes=points.select("way_id", "seq", "node_id"),
-        relations=customer.select(
+
+    def customers() -> DataFrame:
+        customer = spark.read.parquet(f"{path}/customer.parquet")
+        return customer.select("c_custkey", "c_name", (k % 3).alias("cut"), (k % 2).alias("odd"),
+                               (k % 5 == 0).alias("holed"))
+
+    def ways() -> DataFrame:
+        return (customers().join(_ring_pattern(spark, points=False), ["cut", "odd"])
+                .where(F.col("holed") | (F.col("role") == "outer"))
+                .select("c_custkey", "seq", "role", (k * 8 + F.col("seq")).alias("way_id")))
+
+    def points() -> DataFrame:
+        gap = F.when(k % 11 == 0, 500).when(k % 7 == 0, 50).otherwise(0)
+        moved = F.when(F.col("at_gap"), gap).otherwise(0)
+        way_id = k * 8 + F.col("seq")
+        return (customers().join(_ring_pattern(spark, points=True), ["cut", "odd"])
+                .where(F.col("holed") | (F.col("role") == "outer"))
+                .select(way_id.alias("way_id"), F.col("place").cast("long").alias("seq"),
+                        (way_id * 8 + F.col("place")).alias("node_id"),
+                        ((k % 1000) * 5000 + F.col("dx")).cast("int").alias("x"),
+                        (F.floor(k / 1000) * 5000 + F.col("dy") + moved).cast("int").alias("y")))
+
+    return OsmTables(spark, {
+        "nodes": lambda: points().select(F.col("node_id").alias("id"), "x", "y",
+                                         empty_tags().alias("tags")),
+        "ways": lambda: ways().select(F.col("way_id").alias("id"), F.lit(False).alias("is_area"),
+                                      empty_tags().alias("tags")),
+        "way_nodes": lambda: points().select("way_id", "seq", "node_id"),
+        "relations": lambda: customers().select(
             k.alias("id"), F.lit(True).alias("is_area"),
             F.create_map(F.lit("type"), F.lit("multipolygon"),
                          F.lit("name"), F.col("c_name")).alias("tags")),
-        relation_members=ways.select(
-            "relation_id", "seq", F.lit(WAY).alias("member_type"),
-            F.col("way_id").alias("member_id"), "role"),
-    )
+        "relation_members": lambda: ways().select(
+            k.alias("relation_id"), F.col("seq").cast("long").alias("seq"),
+            F.lit(WAY).alias("member_type"), F.col("way_id").alias("member_id"), "role"),
+    })
+
+
+def _ring_pattern(spark: SparkSession, points: bool) -> DataFrame:
+    """The ways, or way points, of each kind of outline: a table of fixed size."""
+    rows = []
+    for cut, pieces in CUTS.items():
+        for odd in (0, 1):
+            for seq, corners in enumerate([*pieces, HOLE]):
+                role = "outer" if seq < len(pieces) else "inner"
+                flip = odd == 1 and seq == 1 and role == "outer"
+                path = corners[::-1] if flip else corners
+                for place, corner in enumerate(path if points else path[:1]):
+                    dx, dy = CORNERS[corner]
+                    at_gap = str(corner == "e").lower()
+                    rows.append(f"({cut}, {odd}, {seq}, '{role}', {place}, {dx}, {dy}, {at_gap})")
+    return spark.sql("SELECT * FROM VALUES " + ", ".join(rows)
+                     + " AS t(cut, odd, seq, role, place, dx, dy, at_gap)")

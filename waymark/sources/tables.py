@@ -12,7 +12,8 @@ relation_members  relation_id, seq, member_type, member_id, role
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,25 +21,45 @@ from pyspark.sql import functions as F
 TABLE_NAMES = ("nodes", "ways", "way_nodes", "relations", "relation_members")
 
 
-@dataclass(frozen=True)
 class OsmTables:
-    nodes: DataFrame
-    ways: DataFrame
-    way_nodes: DataFrame
-    relations: DataFrame
-    relation_members: DataFrame
-    # Points of one way whose seq lies in the same span of this length are
-    # handled together, so no task ever holds a whole long way.
-    seq_span: int = 4096
+    """The base tables, each opened when first used.
 
-    @property
-    def spark(self) -> SparkSession:
-        return self.nodes.sparkSession
+    Points of one way whose seq lies in the same span of length ``seq_span``
+    are handled together, so no task ever holds a whole long way.
+    """
+
+    def __init__(self, spark: SparkSession, tables: Mapping[str, Callable[[], DataFrame]],
+                 seq_span: int = 4096):
+        self.spark = spark
+        self.seq_span = seq_span
+        self._tables = tables
+
+    @cached_property
+    def nodes(self) -> DataFrame:
+        return self._tables["nodes"]()
+
+    @cached_property
+    def ways(self) -> DataFrame:
+        return self._tables["ways"]()
+
+    @cached_property
+    def way_nodes(self) -> DataFrame:
+        return self._tables["way_nodes"]()
+
+    @cached_property
+    def relations(self) -> DataFrame:
+        return self._tables["relations"]()
+
+    @cached_property
+    def relation_members(self) -> DataFrame:
+        return self._tables["relation_members"]()
 
 
 def read_tables(spark: SparkSession, path: str, seq_span: int = 4096) -> OsmTables:
-    return OsmTables(*[spark.read.parquet(f"{path}/{name}") for name in TABLE_NAMES],
-                     seq_span=seq_span)
+    def opener(name: str) -> Callable[[], DataFrame]:
+        return lambda: spark.read.parquet(f"{path}/{name}")
+
+    return OsmTables(spark, {name: opener(name) for name in TABLE_NAMES}, seq_span)
 
 
 def write_tables(tables: OsmTables, path: str, mode: str = "errorifexists") -> None:
