@@ -31,27 +31,29 @@ def mercator_y(lat) -> Column:
     return F.log(F.tan(F.lit(0.7853981633974483) + F.radians(_col(lat)) / 2)) * F.lit(EARTH_RADIUS)
 
 
-def pack(x, y) -> Column:
-    low = _col(y).cast("long").bitwiseAND(F.lit(0xFFFFFFFF))
-    return F.shiftleft(_col(x).cast("long"), 32).bitwiseOR(low)
+# The helpers below build SQL text: they are nested deep, and text costs one
+# parse where columns cost a round trip to the JVM per operator.
 
+def pack(x: str, y: str) -> str:
+    return f"(shiftleft(CAST({x} AS BIGINT), 32) | (CAST({y} AS BIGINT) & 4294967295))"
 
-def packed_x(point) -> Column:
-    return F.shiftright(_col(point), 32).cast("int")
 
+def packed_x(point: str) -> str:
+    return f"CAST(shiftright({point}, 32) AS INT)"
 
-def packed_y(point) -> Column:
-    return F.shiftright(F.shiftleft(_col(point), 32), 32).cast("int")
 
+def packed_y(point: str) -> str:
+    return f"CAST(shiftright(shiftleft({point}, 32), 32) AS INT)"
 
-def cross(origin_x, origin_y, ax, ay, bx, by) -> Column:
-    """Cross product (a - origin) x (b - origin), in doubles."""
-    ox, oy = _num(origin_x), _num(origin_y)
-    return (_num(ax) - ox) * (_num(by) - oy) - (_num(bx) - ox) * (_num(ay) - oy)
+
+def packed(point: str) -> tuple[str, str]:
+    return packed_x(point), packed_y(point)
 
 
-def _num(value) -> Column:
-    return _col(value).cast("double")
+def cross(origin: tuple[str, str], a: tuple[str, str], b: tuple[str, str]) -> str:
+    """Cross product (a - origin) x (b - origin), in doubles."""
+    (ox, oy), (ax, ay), (bx, by) = [[f"CAST({v} AS DOUBLE)" for v in p] for p in (origin, a, b)]
+    return f"(({ax} - {ox}) * ({by} - {oy}) - ({bx} - {ox}) * ({ay} - {oy}))"
 
 
 def _col(value) -> Column:

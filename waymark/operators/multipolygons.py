@@ -25,8 +25,8 @@ _LEVEL_BITS = 4
 class AreaRelations:
     """The intermediate tables all multipolygon results share."""
 
+    tables: OsmTables
     members: DataFrame
-    points: DataFrame
     ring_ways: DataFrame
 
     @property
@@ -49,7 +49,7 @@ def area_relations(tables: OsmTables, relation_ids: DataFrame | None = None,
     members = relation_ways(tables, relation_ids)
     points = way_points(tables, members.select("way_id"))
     placed = ring_ways(ring_pieces(members, points), max_gap, large_group)
-    return AreaRelations(members, points, checkpointed(placed) if materialize else placed)
+    return AreaRelations(tables, members, checkpointed(placed) if materialize else placed)
 
 
 def hole_assignment(areas: AreaRelations) -> DataFrame:
@@ -71,81 +71,69 @@ def hole_assignment(areas: AreaRelations) -> DataFrame:
 
 
 def _candidates(all_rings: DataFrame) -> DataFrame:
-    holes = all_rings.where(~F.col("outer")).select(
-        "relation_id", F.col("ring_slot").alias("hole_slot"),
-        packed_x("ring_first").alias("px"), packed_y("ring_first").alias("py"))
-    hole_cells = _at_levels(holes).select(
-        "*", _cell("px").alias("cx"), _cell("py").alias("cy"))
-    width = F.greatest(F.col("xmax").cast("long") - F.col("xmin"),
-                       F.col("ymax").cast("long") - F.col("ymin"))
+    """(relation_id, hole_slot, outer_slot, px, py) where the outer bounds hold the point."""
+    holes = all_rings.where("NOT outer").selectExpr(
+        "relation_id", "ring_slot AS hole_slot",
+        f"{packed_x('ring_first')} AS px", f"{packed_y('ring_first')} AS py")
+    hole_cells = _at_levels(holes).selectExpr("*", f"{_cell('px')} AS cx", f"{_cell('py')} AS cy")
+    width = "greatest(CAST(xmax AS BIGINT) - xmin, CAST(ymax AS BIGINT) - ymin)"
     outer_cells = (all_rings.where("outer")
-                   .select("relation_id", F.col("ring_slot").alias("outer_slot"),
-                           "xmin", "ymin", "xmax", "ymax", _level(width).alias("level"))
-                   .withColumn("cx", F.explode(F.sequence(_cell("xmin"), _cell("xmax"))))
-                   .withColumn("cy", F.explode(F.sequence(_cell("ymin"), _cell("ymax")))))
+                   .selectExpr("relation_id", "ring_slot AS outer_slot", "xmin", "ymin", "xmax",
+                               "ymax", f"{_level(width)} AS level")
+                   .selectExpr("*", f"explode(sequence({_cell('xmin')}, {_cell('xmax')})) AS cx")
+                   .selectExpr("*", f"explode(sequence({_cell('ymin')}, {_cell('ymax')})) AS cy"))
     return (hole_cells.join(outer_cells, ["relation_id", "level", "cx", "cy"])
-            .where(F.col("px").between(F.col("xmin"), F.col("xmax"))
-                   & F.col("py").between(F.col("ymin"), F.col("ymax")))
+            .where("px BETWEEN xmin AND xmax AND py BETWEEN ymin AND ymax")
             .select("relation_id", "hole_slot", "outer_slot", "px", "py"))
 
 
 def _outer_edges(areas: AreaRelations) -> DataFrame:
     """Directed edges of outer rings in relations with holes, closing edges included."""
-    holed = areas.members.where(~F.col("outer")).select("relation_id")
-    placed = (areas.ring_ways.where(F.col("outer") & (F.col("status") != "discarded"))
+    holed = areas.members.where("NOT outer").select("relation_id")
+    placed = (areas.ring_ways.where("outer AND status != 'discarded'")
               .join(holed, "relation_id", "left_semi"))
     turned = {"x1": "x2", "y1": "y2", "x2": "x1", "y2": "y1"}
     along = placed.select("relation_id", "ring_slot", "way_id", "reversed").join(
-        way_edges(areas.points), "way_id").select("relation_id", "ring_slot", *[
-            F.when(F.col("reversed"), F.col(b)).otherwise(F.col(a)).alias(a)
-            for a, b in turned.items()])
-    starts_ring = F.col("slot") == F.col("ring_slot")
-    closing = F.filter(F.array(
-        F.when(F.col("raw_last") != F.col("last"), _segment("raw_last", "last")),
-        F.when(starts_ring & (F.col("ring_first") != F.col("ring_last")),
-               _segment("ring_last", "ring_first"))), lambda c: c.isNotNull())
-    return along.unionByName(
-        placed.select("relation_id", "ring_slot", F.explode(closing).alias("c"))
-        .select("relation_id", "ring_slot", "c.*"))
+        way_edges(way_points(areas.tables, placed.select("way_id"))), "way_id").selectExpr(
+        "relation_id", "ring_slot", *[f"if(reversed, {b}, {a}) AS {a}" for a, b in turned.items()])
+    closing = f"""explode(filter(array(
+        if(raw_last != last, {_segment('raw_last', 'last')}, NULL),
+        if(slot = ring_slot AND ring_first != ring_last, {_segment('ring_last', 'ring_first')}, NULL)
+        ), c -> c IS NOT NULL)) AS c"""
+    return along.unionByName(placed.selectExpr("relation_id", "ring_slot", closing)
+                             .select("relation_id", "ring_slot", "c.*"))
 
 
-def _segment(start, end):
-    return F.struct(packed_x(start).alias("x1"), packed_y(start).alias("y1"),
-                    packed_x(end).alias("x2"), packed_y(end).alias("y2"))
+def _segment(start: str, end: str) -> str:
+    return (f"named_struct('x1', {packed_x(start)}, 'y1', {packed_y(start)}, "
+            f"'x2', {packed_x(end)}, 'y2', {packed_y(end)})")
 
 
 def _banded(edges: DataFrame) -> DataFrame:
-    height = F.abs(F.col("y1").cast("long") - F.col("y2"))
-    return (edges.where(F.col("y1") != F.col("y2"))
-            .withColumnRenamed("ring_slot", "outer_slot")
-            .withColumn("level", _level(height))
-            .withColumn("band", F.explode(F.sequence(_cell(F.least("y1", "y2")),
-                                                     _cell(F.greatest("y1", "y2"))))))
+    low, high = _cell("least(y1, y2)"), _cell("greatest(y1, y2)")
+    return (edges.where("y1 != y2").withColumnRenamed("ring_slot", "outer_slot")
+            .selectExpr("*", f"{_level('abs(CAST(y1 AS BIGINT) - y2)')} AS level")
+            .selectExpr("*", f"explode(sequence({low}, {high})) AS band"))
 
 
 def _by_height(points: DataFrame) -> DataFrame:
-    return _at_levels(points).withColumn("band", _cell("py"))
+    return _at_levels(points).selectExpr("*", f"{_cell('py')} AS band")
 
 
 def _at_levels(df: DataFrame) -> DataFrame:
-    return df.withColumn("level", F.explode(F.array(*[F.lit(k) for k in range(_LEVELS)])))
+    return df.selectExpr("*", f"explode(sequence(0, {_LEVELS - 1})) AS level")
 
 
-def _level(extent):
-    """The finest level whose cells are at least ``extent`` wide: at most 2 cells per axis."""
-    level = F.lit(_LEVELS - 1)
-    for k in reversed(range(_LEVELS - 1)):
-        level = F.when(extent <= F.lit(1 << (_LEVEL_BITS * k)), k).otherwise(level)
-    return level
+def _level(extent: str) -> str:
+    """The finest level whose cells are at least ``extent`` wide: at most 2 cells per axis.
+
+    16^k >= extent exactly when extent - 1 has at most k hex digits.
+    """
+    return f"if({extent} <= 1, 0, length(hex({extent} - 1)))"
 
 
-def _cell(value):
-    value = F.col(value) if isinstance(value, str) else value
-    cell = value.cast("long")
-    for k in reversed(range(_LEVELS)):
-        shifted = F.shiftright(value.cast("long"), _LEVEL_BITS * k)
-        cell = shifted if k == _LEVELS - 1 else F.when(F.col("level") == k, shifted).otherwise(cell)
-    return cell
+def _cell(value: str) -> str:
+    return f"shiftright(CAST({value} AS BIGINT), level * {_LEVEL_BITS})"
 
 
 def relation_measures(areas: AreaRelations) -> DataFrame:
@@ -190,11 +178,11 @@ def relation_geometry(areas: AreaRelations) -> DataFrame:
     The array is the feature's own value; use ``relation_measures`` where
     numbers are enough.
     """
-    shapes = way_shapes(areas.points).select("way_id", "points")
+    kept = areas.ring_ways.where("status != 'discarded'")
+    shapes = way_shapes(way_points(areas.tables, kept.select("way_id"))).select("way_id", "points")
     complete = F.when(F.col("raw_last") == F.col("last"), F.col("points")).otherwise(
         F.concat("points", F.slice("points", 1, 1)))
-    placed = (areas.ring_ways.where(F.col("status") != "discarded")
-              .join(shapes, "way_id")
+    placed = (kept.join(shapes, "way_id")
               .withColumn("points", complete)
               .withColumn("points", F.when(F.col("reversed"), F.reverse("points"))
                           .otherwise(F.col("points"))))

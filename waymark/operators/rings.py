@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waymark.functions.units import cross, packed_x, packed_y
+from waymark.functions.units import cross, packed
 from waymark.operators import chains
 from waymark.operators.large_groups import split_large
 from waymark.operators.ways import merged_bounds, way_summary
@@ -117,14 +117,12 @@ def _join_ends(pieces: DataFrame, group: list[str], max_gap: int) -> DataFrame:
 
 def rings(ring_ways: DataFrame) -> DataFrame:
     """One row per kept ring: status, n_points, bounds, area2, ring_first, ring_last."""
-    origin, start, end = F.col("ring_first"), F.col("first"), F.col("last")
-    seen = F.col("area2") + cross(packed_x(origin), packed_y(origin), packed_x(start),
-                                  packed_y(start), packed_x(end), packed_y(end))
-    gap_point = F.when(F.max("status") == "gap_closed", 1).otherwise(0)
-    return (ring_ways.where(F.col("status") != "discarded")
+    seen = f"(area2 + {cross(packed('ring_first'), packed('first'), packed('last'))})"
+    return (ring_ways.where("status != 'discarded'")
             .groupBy("relation_id", "outer", "ring_slot")
             .agg(F.max("status").alias("status"),
-                 (F.sum(F.col("n_points") - 1) + 1 + gap_point).alias("n_points"),
-                 F.abs(F.sum(F.when(F.col("reversed"), -seen).otherwise(seen))).alias("area2"),
+                 F.expr("sum(n_points - 1) + 1 + if(max(status) = 'gap_closed', 1, 0)")
+                 .alias("n_points"),
+                 F.expr(f"abs(sum(if(reversed, -{seen}, {seen})))").alias("area2"),
                  F.max("ring_first").alias("ring_first"), F.max("ring_last").alias("ring_last"),
                  *merged_bounds()))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.functions.units import cross, pack, packed_x, packed_y
+from waymark.functions.units import cross, pack, packed, packed_x, packed_y
 from waymark.schema import METERS_PER_UNIT
 from waymark.sources.tables import OsmTables
 
@@ -64,19 +64,15 @@ def way_summary(points: DataFrame) -> DataFrame:
     point. It can be shifted to any other origin and added up, so rings get
     their area without their points being gathered.
     """
-    spans = _span_summary(points)
-    first = F.col("way_first")
-    shifted = F.col("area2") + cross(
-        packed_x(first), packed_y(first), packed_x("first"), packed_y("first"),
-        packed_x("last"), packed_y("last"))
-    bridge = cross(packed_x(first), packed_y(first), packed_x("last"), packed_y("last"),
-                   packed_x("next_first"), packed_y("next_first"))
-    return (_linked(spans)
+    origin = packed("way_first")
+    shifted = f"area2 + {cross(origin, packed('first'), packed('last'))}"
+    bridge = f"coalesce({cross(origin, packed('last'), packed('next_first'))}, 0D)"
+    return (_linked(_span_summary(points))
             .groupBy("way_id")
             .agg(F.sum("n_points").alias("n_points"),
                  F.min_by("first", "span").alias("first"),
                  F.max_by("last", "span").alias("last"),
-                 F.sum(shifted + F.coalesce(bridge, F.lit(0.0))).alias("area2"),
+                 F.expr(f"sum({shifted} + {bridge})").alias("area2"),
                  *merged_bounds()))
 
 
@@ -88,13 +84,11 @@ def way_area(points: DataFrame) -> DataFrame:
 
 def way_edges(points: DataFrame) -> DataFrame:
     """(way_id, x1, y1, x2, y2), one row per pair of consecutive points."""
-    inner = (_with_neighbours(points).where(F.col("nx").isNotNull())
-             .select("way_id", F.col("x").alias("x1"), F.col("y").alias("y1"),
-                     F.col("nx").alias("x2"), F.col("ny").alias("y2")))
-    between = (_linked(_span_summary(points)).where(F.col("next_first").isNotNull())
-               .select("way_id",
-                       packed_x("last").alias("x1"), packed_y("last").alias("y1"),
-                       packed_x("next_first").alias("x2"), packed_y("next_first").alias("y2")))
+    inner = (_with_neighbours(points).where("nx IS NOT NULL")
+             .selectExpr("way_id", "x AS x1", "y AS y1", "nx AS x2", "ny AS y2"))
+    between = (_linked(_span_summary(points)).where("next_first IS NOT NULL")
+               .selectExpr("way_id", f"{packed_x('last')} AS x1", f"{packed_y('last')} AS y1",
+                           f"{packed_x('next_first')} AS x2", f"{packed_y('next_first')} AS y2"))
     return inner.unionByName(between)
 
 
@@ -108,11 +102,12 @@ def _with_neighbours(points: DataFrame) -> DataFrame:
 
 
 def _span_summary(points: DataFrame) -> DataFrame:
-    packed = pack("x", "y")
+    point, swept = pack("x", "y"), cross(("ox", "oy"), ("x", "y"), ("nx", "ny"))
     return _with_neighbours(points).groupBy("way_id", "span").agg(
         F.count("*").alias("n_points"),
-        F.min_by(packed, "seq").alias("first"), F.max_by(packed, "seq").alias("last"),
-        F.sum(F.coalesce(cross("ox", "oy", "x", "y", "nx", "ny"), F.lit(0.0))).alias("area2"),
+        F.expr(f"min_by({point}, seq)").alias("first"),
+        F.expr(f"max_by({point}, seq)").alias("last"),
+        F.expr(f"sum(coalesce({swept}, 0D))").alias("area2"),
         *bounds_of())
 
 

@@ -61,9 +61,9 @@ def way_coords(spark, path):
 
 def way_ends(spark, path):
     ends = way_summary(way_points(derived_tables(spark, path)))
-    return ends.select("way_id", "n_points", packed_x("first").alias("first_x"),
-                       packed_y("first").alias("first_y"), packed_x("last").alias("last_x"),
-                       packed_y("last").alias("last_y"), *BOUNDS)
+    return ends.selectExpr(
+        "way_id", "n_points", f"{packed_x('first')} AS first_x", f"{packed_y('first')} AS first_y",
+        f"{packed_x('last')} AS last_x", f"{packed_y('last')} AS last_y", *BOUNDS)
 
 
 def _areas(spark, path, predicate):
