@@ -13,6 +13,7 @@ from fixtures import Builder  # noqa: E402
 def spark(tmp_path_factory):
     session = (SparkSession.builder.master("local[8]")
                .config("spark.sql.shuffle.partitions", "8")
+               .config("spark.sql.maxMetadataStringLength", "5000")
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.session.timeZone", "UTC")
