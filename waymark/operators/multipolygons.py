@@ -47,7 +47,7 @@ def area_relations(tables: OsmTables, relation_ids: DataFrame | None = None,
     if large_group == "check":
         large_group = large_group_limit(tables)
     members = relation_ways(tables, relation_ids)
-    points = way_points(tables, members.select("way_id"))
+    points = way_points(tables, members.select("way_id").distinct())
     placed = ring_ways(ring_pieces(members, points), max_gap, large_group)
     return AreaRelations(tables, members, checkpointed(placed) if materialize else placed)
 
@@ -89,12 +89,12 @@ def _candidates(all_rings: DataFrame) -> DataFrame:
 
 def _outer_edges(areas: AreaRelations) -> DataFrame:
     """Directed edges of outer rings in relations with holes, closing edges included."""
-    holed = areas.members.where("NOT outer").select("relation_id")
+    holed = areas.members.where("NOT outer").select("relation_id").distinct()
     placed = (areas.ring_ways.where("outer AND status != 'discarded'")
               .join(holed, "relation_id", "left_semi"))
     turned = {"x1": "x2", "y1": "y2", "x2": "x1", "y2": "y1"}
     along = placed.select("relation_id", "ring_slot", "way_id", "reversed").join(
-        way_edges(way_points(areas.tables, placed.select("way_id"))), "way_id").selectExpr(
+        way_edges(way_points(areas.tables, placed.select("way_id").distinct())), "way_id").selectExpr(
         "relation_id", "ring_slot", *[f"if(reversed, {b}, {a}) AS {a}" for a, b in turned.items()])
     closing = f"""explode(filter(array(
         if(raw_last != last, {_segment('raw_last', 'last')}, NULL),
@@ -179,7 +179,8 @@ def relation_geometry(areas: AreaRelations) -> DataFrame:
     numbers are enough.
     """
     kept = areas.ring_ways.where("status != 'discarded'")
-    shapes = way_shapes(way_points(areas.tables, kept.select("way_id"))).select("way_id", "points")
+    ids = kept.select("way_id").distinct()
+    shapes = way_shapes(way_points(areas.tables, ids)).select("way_id", "points")
     complete = F.when(F.col("raw_last") == F.col("last"), F.col("points")).otherwise(
         F.concat("points", F.slice("points", 1, 1)))
     placed = (kept.join(shapes, "way_id")

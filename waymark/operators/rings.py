@@ -92,11 +92,15 @@ def _is_closed():
 def large_group_limit(tables: OsmTables, limit: int = MAX_GROUP_WAYS) -> int | None:
     """``limit`` if some relation lists more outer or inner ways than that, else None.
 
-    One narrow scan with a map-side count; it bounds the group size from above
-    before any geometry is read.
+    A narrow scan with a map-side count bounds the group sizes from above,
+    before any geometry is read. Only if it finds a large group is the count
+    repeated for area relations alone.
     """
-    sizes = _role_members(tables, None, area_only=True).groupBy(*_GROUP).count()
-    return None if sizes.where(F.col("count") > limit).isEmpty() else limit
+    for area_only in (False, True):
+        sizes = _role_members(tables, None, area_only).groupBy(*_GROUP).count()
+        if sizes.where(F.col("count") > limit).isEmpty():
+            return None
+    return limit
 
 
 def _join_ends(pieces: DataFrame, group: list[str], max_gap: int) -> DataFrame:

@@ -19,8 +19,8 @@ from waymark.sources.tables import OsmTables
 def way_points(tables: OsmTables, way_ids: DataFrame | None = None) -> DataFrame:
     """(way_id, span, seq, x, y) for every way node whose node exists.
 
-    ``way_ids`` (one column ``way_id``) restricts the ways before the node
-    join, which is the widest shuffle of the engine.
+    ``way_ids`` (one column ``way_id``, without repeats) restricts the ways
+    before the node join, which is the widest shuffle of the engine.
     """
     refs = tables.way_nodes
     if way_ids is not None:
@@ -30,8 +30,7 @@ def way_points(tables: OsmTables, way_ids: DataFrame | None = None) -> DataFrame
     else:
         nodes = tables.nodes.select(F.col("id").alias("node_id"), "x", "y")
         located = refs.join(nodes, "node_id")
-    span = F.floor(F.col("seq") / F.lit(tables.seq_span)).alias("span")
-    return located.select("way_id", span, "seq", "x", "y")
+    return located.selectExpr("way_id", f"seq DIV {tables.seq_span} AS span", "seq", "x", "y")
 
 
 def bounds_of(x="x", y="y") -> list:

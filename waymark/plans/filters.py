@@ -91,16 +91,17 @@ def restaurants_in_box(spark, path):
 
 def has_members(spark, path):
     tables = derived_tables(spark, path)
-    owners = member_edges(tables).select(F.col("relation_id").alias("fid"))
+    # distinct() folds the edges of a hot owner before they are shuffled.
+    owners = member_edges(tables).select(F.col("relation_id").alias("fid")).distinct()
     return (features(tables, types=[RELATION]).join(owners, "fid", "left_semi")
             .select("fid", tag("name").alias("name")))
 
 
 def has_parents(spark, path):
     tables = derived_tables(spark, path)
-    found = [features(tables, types=[code]).join(parent_edges(tables, code, distinct=False),
-                                                 "fid", "left_semi").select("fid", "type")
-             for code in (NODE, WAY, RELATION)]
+    found = [features(tables, types=[code]).join(
+        parent_edges(tables, code, distinct=False).select("fid").distinct(), "fid", "left_semi")
+        .select("fid", "type") for code in (NODE, WAY, RELATION)]
     return found[0].unionByName(found[1]).unionByName(found[2])
 
 

@@ -14,7 +14,7 @@ from waymark.operators.ways import way_area, way_bounds, way_points, way_summary
 from waymark.plans.filters import BOX
 from waymark.plans.oracle import METERS, UNITS, overlap, with_tables
 from waymark.schema import NODE, RELATION, WAY
-from waymark.sources.derived import derived_tables, ring_tables
+from waymark.sources.derived import LINE_SPAN, derived_tables, ring_tables
 
 # A fixed five-cornered test ring, in meters.
 TEST_RING = [(-9000000.0, -8000000.0), (11000000.0, -6000000.0), (3000000.0, 1000000.0),
@@ -55,8 +55,8 @@ def way_polygon(spark, path):
 
 def way_coords(spark, path):
     points = way_points(derived_tables(spark, path))
-    # In the derived tables a span of seq is a line number.
-    return points.select("way_id", F.col("span").cast("int").alias("line"), "x", "y")
+    # In the derived tables seq starts with the line number.
+    return points.selectExpr("way_id", f"CAST(seq DIV {LINE_SPAN} AS INT) AS line", "x", "y")
 
 
 def way_ends(spark, path):

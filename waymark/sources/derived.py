@@ -6,6 +6,8 @@ order-preserving number, so a hot key costs no window and no extra shuffle.
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,15 +25,30 @@ PRIORITY_TAGS = {
     "4-NOT SPECIFIED": ("leisure", "park"),
 }
 PART_AMENITIES = {"PROMO": "restaurant", "LARGE": "school"}
-# seq of a way node is line number * LINE_SPAN + part key.
+# seq of a way node is line number * LINE_SPAN + part key. Spans of part keys
+# within a line cut up an order that holds very many lines.
 LINE_SPAN = 1 << 40
+PART_SPAN = 1 << 24
 LAST_SEQ = 1 << 62
 
 
-def derived_tables(spark: SparkSession, path: str) -> OsmTables:
+@cache
+def _schema(spark: SparkSession, file: str):
+    return spark.read.parquet(file).schema
+
+
+def _reader(spark: SparkSession, path: str):
+    """Opens each table once, and looks into each file's footer once per session."""
+    @cache
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{path}/{name}.parquet")
+        file = f"{path}/{name}.parquet"
+        return spark.read.schema(_schema(spark, file)).parquet(file)
 
+    return read
+
+
+def derived_tables(spark: SparkSession, path: str) -> OsmTables:
+    read = _reader(spark, path)
     return OsmTables(spark, {
         "nodes": lambda: _nodes(read("part")),
         "ways": lambda: _ways(read("orders"), read("lineitem")),
@@ -39,7 +56,7 @@ def derived_tables(spark: SparkSession, path: str) -> OsmTables:
         "relations": lambda: _relations(read("customer"), read("region")),
         "relation_members": lambda: _members(read("orders"), read("customer"), read("nation"),
                                              read("region")),
-    }, seq_span=LINE_SPAN)
+    }, seq_span=PART_SPAN)
 
 
 def _way_nodes(lineitem: DataFrame) -> DataFrame:
@@ -141,10 +158,10 @@ def ring_tables(spark: SparkSession, path: str) -> OsmTables:
     its start), cut into 1, 2 or 4 outer ways; every fifth has a square hole.
     """
     k = F.col("c_custkey")
+    read = _reader(spark, path)
 
     def customers() -> DataFrame:
-        customer = spark.read.parquet(f"{path}/customer.parquet")
-        return customer.select("c_custkey", "c_name", (k % 3).alias("cut"), (k % 2).alias("odd"),
+        return read("customer").select("c_custkey", "c_name", (k % 3).alias("cut"), (k % 2).alias("odd"),
                                (k % 5 == 0).alias("holed"))
 
     def ways() -> DataFrame:
