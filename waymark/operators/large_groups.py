@@ -10,8 +10,9 @@ is left is split into connected components, which never influence each other.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _GROUP = ["relation_id", "outer"]
@@ -161,13 +162,23 @@ def _state(links: DataFrame):
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the session's shared folder."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="waymark-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Cut lineage: write ``df`` to the session's shared folder and read it back.
+
+    A written table, not ``checkpoint()``: a checkpoint keeps the size estimate
+    of its plan, and over many rounds of joins that estimate, a product each
+    time, grows beyond all bounds and stalls planning.
+    """
+    path = f"{_shared_folder(df.sparkSession)}/waymark-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="waymark-checkpoint-"))
+        folder = context.getCheckpointDir()
+    return folder
