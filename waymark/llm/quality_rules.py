@@ -133,26 +133,26 @@ def base_failed() -> Column:
     return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
-def _vote(good: Column, bad: Column) -> Column:
-    return F.when(bad, -1).when(good, 1).otherwise(0)
+def _vote(bad: Column, good: Column | None = None) -> Column:
+    vote = F.when(bad, -1)
+    return (vote if good is None else vote.when(good, 1)).otherwise(0)
 
 
 def _rules() -> dict[str, Column]:
+    """Signs of junk vote against or abstain: their absence says little. Signs of prose vote either way."""
     c = {name: F.col(name) for name in COUNTS}
     words, long_enough = c["n_words"], c["n_words"] >= 30
     return {
-        "symbols": _vote(50 * c["n_symbols"] <= words, 8 * c["n_symbols"] > words),
-        "word_length": _vote(c["word_chars"].between(3 * words, 9 * words),
-                             (c["word_chars"] < 2 * words) | (c["word_chars"] > 14 * words)),
-        "repeated_lines": _vote((c["n_dup_lines"] == 0) & (c["n_lines"] > 1), 4 * c["n_dup_lines"] > c["n_lines"]),
-        "repeated_words": _vote(20 * c["n_repeat_words"] <= words, 5 * c["n_repeat_words"] > words),
-        "capitals": _vote((10 * c["n_capitals"] <= c["n_letters"]) & (c["n_letters"] > 0),
-                          10 * c["n_capitals"] > 3 * c["n_letters"]),
-        "sentences": _vote(c["n_sentence_ends"].between(words / 50, words / 2) & (words > 0),
-                           long_enough & ((60 * c["n_sentence_ends"] < words)
-                                          | (10 * c["n_sentence_ends"] > 8 * words))),
-        "function_words": _vote(10 * c["n_function_words"] >= words,
-                                long_enough & (50 * c["n_function_words"] < words)),
+        "symbols": _vote(8 * c["n_symbols"] > words),
+        "word_length": _vote((c["word_chars"] < 2 * words) | (c["word_chars"] > 14 * words)),
+        "repeated_lines": _vote(3 * c["n_dup_lines"] > c["n_lines"]),
+        "repeated_words": _vote(5 * c["n_repeat_words"] > words),
+        "capitals": _vote(10 * c["n_capitals"] > 3 * c["n_letters"]),
+        "sentences": _vote(long_enough & ((60 * c["n_sentence_ends"] < words)
+                                          | (10 * c["n_sentence_ends"] > 8 * words)),
+                           c["n_sentence_ends"].between(words / 50, words / 2) & (words > 0)),
+        "function_words": _vote(long_enough & (50 * c["n_function_words"] < words),
+                                10 * c["n_function_words"] >= words),
     }
 
 
@@ -167,13 +167,13 @@ def with_votes(counted: DataFrame) -> DataFrame:
 def fitted(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> dict[str, np.ndarray | float]:
     """Prior of quality and, for each rule, its chance of each vote in either class, by expectation-maximisation.
 
-    ``votes`` has a row per pattern. The start is the majority vote. Rules are held better than chance and every
-    chance gets a pseudo count, so that classes can't swap and a vote never seen decides nothing.
+    ``votes`` has a row per pattern. The start doubts what any rule votes against. Rules are held better than chance and
+    every chance gets a pseudo count, so that classes can't swap and a vote never seen decides nothing.
     """
     m = votes.shape[1]
     share = counts / max(counts.sum(), 1)
     kinds = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)  # pattern, rule, vote
-    q = 1 / (1 + np.exp(-1.5 * votes.sum(axis=1)))
+    q = np.where((votes < 0).any(axis=1), 0.1, 0.9)
     prior, chance, ratio = 0.5, np.full((2, m, 3), 1 / 3), np.zeros((m, 3))
     for _ in range(rounds if len(q) else 0):
         prior = float(np.clip((share * q).sum(), 0.05, 0.95))
@@ -215,3 +215,15 @@ def judged(counted: DataFrame, threshold: float = 0.5) -> DataFrame:
 def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = 0.5) -> DataFrame:
     """One row per document: ``key``, the counts, the votes, base_failed, posterior and kept."""
     return judged(written(features(docs, [key], text), "quality"), threshold)
+
+
+def kept(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, unchanged.
+
+    Votes are counted in one pass and applied in another, so no text is shuffled or stored.
+    """
+    names = docs.columns
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate(names)])
+    counted = features(plain, plain.columns, f"__c{names.index(text)}")
+    return judged(counted, threshold).where("kept").select(
+        *[F.col(f"__c{k}").alias(c) for k, c in enumerate(names)])
