@@ -19,6 +19,7 @@ other than the key and the text are ignored.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 from functools import cached_property
@@ -30,9 +31,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: States of the determinised transducer and pieces kept by a task; beyond, both start anew. Results don't depend on it.
-MAX_STATES = 60_000
-MAX_PIECES = 250_000
+#: States of the determinised transducer, and pieces, kept by a worker; beyond, they start anew. Results don't depend
+#: on either.
+MAX_STATES = 150_000
+MAX_PIECES = 300_000
 
 
 def read_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
@@ -41,15 +43,29 @@ def read_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
-def merged(data: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Merges applied one by one, lowest rank first: the definition, used on pairs of tokens."""
+_NEVER = 1 << 62
+
+
+def merges(data: bytes, ranks: dict[bytes, int]) -> tuple[list[bytes], list[tuple[int, bytes, bytes]]]:
+    """Merges applied one by one, lowest rank and then leftmost first.
+
+    Gives the parts left in the end, and for every moment the rank of the next merge with the first and last part.
+    """
     parts = [data[k:k + 1] for k in range(len(data))]
-    while len(parts) > 1:
-        best = min(range(len(parts) - 1), key=lambda k: ranks.get(parts[k] + parts[k + 1], len(ranks) + 1 << 40))
-        if parts[best] + parts[best + 1] not in ranks:
-            break
-        parts[best:best + 2] = [parts[best] + parts[best + 1]]
-    return [ranks[p] for p in parts]
+    pairs = [ranks.get(data[k:k + 2], _NEVER) for k in range(len(data) - 1)]
+    moments = []
+    while True:
+        low = min(pairs, default=_NEVER)
+        moments.append((low, parts[0], parts[-1]))
+        if low == _NEVER:
+            return parts, moments
+        at = pairs.index(low)
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+        del pairs[at]
+        if at < len(pairs):
+            pairs[at] = ranks.get(parts[at] + parts[at + 1], _NEVER)
+        if at:
+            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], _NEVER)
 
 
 class Transducer:
@@ -71,89 +87,111 @@ class Transducer:
                 node = nxt
             self.token[node] = rank
         self._fits: dict[tuple[int, int], bool] = {}
+        self._moments: dict[int, list | None] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.states: list[tuple] = []
-        self.numbers: dict[tuple, int] = {}
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = []
-        self._number(((0, -1, ()),))
-
-    def _number(self, state: tuple) -> int:
-        number = self.numbers.get(state)
-        if number is None:
-            number = self.numbers[state] = len(self.states)
-            self.states.append(state)
-            self.steps.append({})
-        return number
+        self.states: dict[tuple, dict] = {}
+        self.start = self._state(((0, -1, ()),))
+
+    def _state(self, places: tuple) -> dict:
+        """A state: its live places under -1, and under each byte met so far the next state and the tokens agreed."""
+        state = self.states.get(places)
+        if state is None:
+            state = self.states[places] = {-1: places}
+        return state
+
+    def _alone(self, token: int) -> list | None:
+        """The moments of a token's own merges; None if it doesn't encode to itself."""
+        known = self._moments.get(token, 0)
+        if known == 0:
+            parts, moments = merges(self.bytes_of[token], self.ranks)
+            known = self._moments[token] = moments if len(parts) == 1 else None
+        return known
 
     def fits(self, last: int, token: int) -> bool:
-        """Whether ``token`` may follow ``last`` (-1: nothing)."""
+        """Whether ``token`` may follow ``last`` (-1: nothing).
+
+        Both sides merge as they would alone, in order of rank, unless a merge across the border comes first.
+        """
+        right = self._alone(token)
+        if last < 0 or right is None:
+            return right is not None
         pair = (last, token)
         known = self._fits.get(pair)
         if known is None:
-            if len(self._fits) > 4 * self.max_states:
+            left, a, b, get = self._alone(last), 0, 0, self.ranks.get
+            while True:
+                (low_a, _, tail), (low_b, head, _) = left[a], right[b]
+                across = get(tail + head, _NEVER)
+                if across < low_a and across <= low_b:
+                    known = False
+                    break
+                if low_a <= low_b:
+                    if low_a == _NEVER:
+                        known = True
+                        break
+                    a += 1
+                else:
+                    b += 1
+            if len(self._fits) >= 4 * self.max_states:
                 self._fits.clear()
-            if last < 0:
-                known = merged(self.bytes_of[token], self.ranks) == [token]
-            else:
-                known = (self.fits(-1, token)
-                         and merged(self.bytes_of[last] + self.bytes_of[token], self.ranks) == [last, token])
             self._fits[pair] = known
         return known
 
-    def _step(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
+    def _step(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
         """The next state and the tokens that all live places now agree on."""
-        live, done = [], None
-        for node, last, pending in self.states[number]:
-            nxt = self.trie[node].get(byte)
+        live, done, trie, token_at = [], None, self.trie, self.token
+        for node, last, pending in state[-1]:
+            nxt = trie[node].get(byte)
             if nxt is None:
                 continue
-            if self.trie[nxt]:
+            if trie[nxt]:
                 live.append((nxt, last, pending))
-            token = self.token[nxt]
-            if done is None and token >= 0 and self.fits(last, token):
+            if done is None and (token := token_at[nxt]) >= 0 and self.fits(last, token):
                 done = (0, token, (*pending, token))  # one encoding of the bytes so far, so one such place
-        if done is not None:
-            live.append(done)
-        agreed, shortest = 0, min(len(p) for _, _, p in live)
-        while agreed < shortest and all(p[agreed] == live[0][2][agreed] for _, _, p in live):
+        live.append(done)
+        first = live[0][2]
+        agreed, shortest = 0, min([len(p) for _, _, p in live]) if first else 0
+        while agreed < shortest and all([p[agreed] == first[agreed] for _, _, p in live]):
             agreed += 1
-        out = live[0][2][:agreed]
-        state = tuple((node, last, p[agreed:]) for node, last, p in live)
+        out = first[:agreed]
+        places = tuple([(node, last, p[agreed:]) for node, last, p in live] if agreed else live)
         if len(self.states) >= self.max_states:
             self._reset()
-            return self._number(state), out
-        found = self._number(state), out
-        self.steps[number][byte] = found
+            return self._state(places), out
+        found = state[byte] = self._state(places), out
         return found
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
-        at, out = 0, []
+        state, out, step_from = self.start, [], self._step
         for byte in piece:
-            step = self.steps[at].get(byte)
-            if step is None:
-                step = self._step(at, byte)
-            at, ready = step
+            try:
+                state, ready = state[byte]
+            except KeyError:
+                state, ready = step_from(state, byte)
             if ready:
-                out.extend(ready)
-        for node, _, pending in self.states[at]:
+                out += ready
+        for node, _, pending in state[-1]:
             if node == 0:
-                out.extend(pending)
+                out += pending
         return tuple(out)
 
 
 class _Pieces(dict):
-    """Ids of each piece, encoded when first met."""
+    """Ids of each piece, encoded when first met. When full, it keeps what it held for one more round."""
 
     def __init__(self, transducer: Transducer):
         super().__init__()
-        self.transducer = transducer
+        self.transducer, self.older = transducer, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.transducer.encode(piece.encode("utf-8"))
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.transducer.encode(piece.encode("utf-8"))
         if len(piece) <= 64:
             if len(self) >= MAX_PIECES:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -233,6 +271,7 @@ def codec(path: str, pattern: str) -> Codec:
     if (path, pattern) not in _codecs:
         with open(path, "rb") as lines:
             _codecs[path, pattern] = Codec(read_ranks(lines), pattern)
+        gc.freeze()  # the tables stay; the collector need not walk them again and again
     return _codecs[path, pattern]
 
 
