@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import byte_bpe, mixing, quality_rules, warc
+from waymark.llm import (byte_bpe, license_scan, line_dedup, mixing, neighbours, quality_rules, toxicity,
+                         warc)
 from waymark.llm.tables import documents
 
 
@@ -33,11 +34,35 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.decoded(ids, path, pattern).drop("decoded")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
+
+
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.matches(documents(spark, sf_dir))
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "embeddings")
+    return neighbours.nearest(rows, rows.where("vec_id % 100 = 0"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.deduplicated(documents(spark, sf_dir))
+    return kept.select("doc_id", F.size(F.split("text", "\n", -1)).cast("long").alias("n_lines"),
+                       F.octet_length("text").cast("long").alias("n_bytes"),
+                       F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
     "op3_mixing": op3_mixing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_toxicity": op6_toxicity,
+    "op8_license_scans": op8_license_scans,
+    "op9_neighbours": op9_neighbours,
+    "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES = {
