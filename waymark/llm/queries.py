@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import (byte_bpe, license_scan, line_dedup, mixing, neighbours, quality_rules, toxicity,
-                         warc)
+from waymark.llm import (byte_bpe, license_scan, line_dedup, mixing, neighbours, quality_rules, suffix_dedup,
+                         toxicity, warc)
 from waymark.llm.tables import documents
 
 
@@ -38,6 +38,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(documents(spark, sf_dir), documents(spark, sf_dir, "labels"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicated(documents(spark, sf_dir)).drop("kept")
+
+
 def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.matches(documents(spark, sf_dir))
 
@@ -60,6 +64,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_byte_bpe": op4_byte_bpe,
     "op6_toxicity": op6_toxicity,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_license_scans": op8_license_scans,
     "op9_neighbours": op9_neighbours,
     "op10_line_dedup": op10_line_dedup,

@@ -32,7 +32,7 @@ SEEDS = {
 }
 CATEGORIES = (*SEEDS, "other", "toxic")
 MAX_LABELLED = 4000
-MAX_FEATURES = 4000
+MAX_FEATURES = 1000
 FOLDS = 3
 THRESHOLD = 0.5
 _PREFIXES = (5, 6, 7, 8)
@@ -113,7 +113,7 @@ class Design:
         self.names = names[often]
         self.at, self.own = (np.cumsum(often) - 1)[at[use]].astype(np.int32), own[use]
 
-    def fit(self, inside: np.ndarray, target: np.ndarray, before: np.ndarray, steps: int = 120) -> Link:
+    def fit(self, inside: np.ndarray, target: np.ndarray, before: np.ndarray, steps: int = 80) -> Link:
         """Logistic regression of the documents ``inside``, by gradient steps, over the features most unevenly
         spread over the classes."""
         n, hits = int(inside.sum()), float(target[inside].sum())
