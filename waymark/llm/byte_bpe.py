@@ -302,7 +302,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
 
 def decoded(tokens: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
-    """``key``, the ids' checksum, and the decoded text with the checksum of its bytes."""
+    """``key``, n_tokens, ids and their checksum, and the decoded text with the checksum of its bytes."""
     source = tokens.select(F.col(f"`{key}`"), "n_tokens", "ids")
     kind = source.schema[0].dataType.simpleString()
 
@@ -320,8 +320,10 @@ def decoded(tokens: DataFrame, path: str, pattern: str, key: str = "doc_id") ->
                     texts.append("".join(own.decode_stream(ids)))
                     hashes.append(hashlib.sha256(texts[-1].encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(sums), pa.array(texts), pa.array(hashes)],
-                    names=[key, "n_tokens", "ids_sha256", "decoded", "decoded_sha256"])
+                    [part.column(0), part.column(1), lists, pa.array(sums, pa.string()), pa.array(texts, pa.string()),
+                     pa.array(hashes, pa.string())],
+                    names=[key, "n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256"])
 
     return source.mapInArrow(
-        run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded string, decoded_sha256 string")
+        run, f"`{key}` {kind}, n_tokens long, ids array<int>, ids_sha256 string, decoded string, "
+             "decoded_sha256 string")

@@ -178,3 +178,13 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
         F.col(f"`{key}`"), *[F.col(f"`{c}`") for c in keep], F.col("__size").alias("size"), "source_size", "target",
         F.when(F.col("__size") > 0, times).otherwise(0).cast("long").alias("times")
     ).withColumn("taken", F.col("times") * F.col("size"))
+
+
+def applied(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
+    """The mix itself: the rows of ``docs``, unchanged, as many times as each is taken."""
+    names = docs.columns
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"__c{n}") for n, c in enumerate(names)])
+    own = [f"__c{names.index(c)}" for c in (key, text, source)]
+    taken = mixed(plain, *own, keep=plain.columns, **options).where("times > 0")
+    return taken.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))).select(
+        *[F.col(f"__c{n}").alias(c) for n, c in enumerate(names)])

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.llm import (byte_bpe, license_scan, line_dedup, mixing, neighbours, quality_rules, suffix_dedup,
-                         toxicity, warc)
+from waymark.llm import (byte_bpe, license_scan, line_dedup, mixing, neighbours, ngram_join, quality_rules,
+                         suffix_dedup, toxicity, warc)
 from waymark.llm.tables import documents
 
 
@@ -31,7 +31,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     ids = byte_bpe.encoded(documents(spark, sf_dir), path, pattern)
-    return byte_bpe.decoded(ids, path, pattern).drop("decoded")
+    return byte_bpe.decoded(ids, path, pattern).drop("ids", "decoded")
+
+
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(documents(spark, sf_dir))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +67,7 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_mixing": op3_mixing,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_toxicity": op6_toxicity,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_license_scans": op8_license_scans,
