@@ -10,7 +10,8 @@ it. Each index list is ordered by set size and holds the position of its shingle
 * Answers from answers: each list has a leader, its smallest set, against which all its members are verified, once for
   all lists. Members linked to a common leader are one component and need no test among each other. For others the
   leader's answers bound theirs: two sets share at most what both share with the leader plus what both have besides,
-  and at least what the leader's answers force. Only pairs that these bounds leave open are verified.
+  and at least what the leader's answers force. Pairs that these bounds and sketches of both sets leave open are
+  verified, in rounds, as long as their classes are not in one component.
 
 So a group of near copies costs one comparison a member, and no list is paired in full. Lists longer than ``BLOCK``
 are paired block by block. Verification compares whole sets of 64-bit hashes. Components come from label rounds.
@@ -41,6 +42,7 @@ SALTS = 64
 BITS = 23
 HASHES_COUNTED = 4_000_000
 OFTEN = 8
+ROUNDS = 3
 _LAST = (1 << 63) - 1
 
 
@@ -214,8 +216,27 @@ def _list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield rows(held, True)
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """A bit for each leading-bits bucket that holds a hash, of two to four buckets a hash."""
+    size = max(6, int(2 * len(hashes) - 1).bit_length())
+    on = np.zeros(1 << size, bool)
+    on[(hashes >> np.uint64(64 - size)).astype(np.int64)] = True
+    return np.packbits(on).tobytes()
+
+
+def most_shared(n: int, a: bytes, m: int, b: bytes) -> int:
+    """What sets of n and m hashes can share at most, by their sketches: none in a bucket that the other lacks."""
+    x, y = (np.unpackbits(np.frombuffer(v, np.uint8)) for v in (a, b))
+    if len(x) > len(y):
+        x = x.reshape(len(y), -1).any(axis=1)
+    elif len(y) > len(x):
+        y = y.reshape(len(x), -1).any(axis=1)
+    both = int((x & y).sum())
+    return min(n - (int(x.sum()) - both), m - (int(y.sum()) - both))
+
+
 def _set_batches(wanted: np.ndarray):
-    """Signature and set, as bytes, of classes whose bit is set; one row of each class a chunk."""
+    """Signature, sketch and set, as bytes, of classes whose bit is set; one row of each class a chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,14 +245,32 @@ def _set_batches(wanted: np.ndarray):
                 sig = signatures(hashes, bounds)
                 first = _first_of_class(sig)
                 first = first[_on(wanted, sig[first]) & (sig[first] != 0)]
+                sets = [hashes[bounds[k]:bounds[k + 1]] for k in first]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig[first].view(np.int64)),
-                     pa.array([hashes[bounds[k]:bounds[k + 1]].tobytes() for k in first], pa.binary())],
-                    names=["sig", "held"])
+                    [pa.array(sig[first].view(np.int64)), pa.array([len(x) for x in sets], pa.int64()),
+                     pa.array([sketch(x) for x in sets], pa.binary()),
+                     pa.array([x.tobytes() for x in sets], pa.binary())], names=["sig", "size", "sketch", "held"])
 
     return run
 
 
+def _wanted_batches(wanted: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_on(wanted, batch.column(0).to_numpy().view(np.uint64))))
+
+    return run
+
+
+def _prune_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        n, m = (batch.column(c).to_numpy() for c in (2, 3))
+        most = np.array([most_shared(*x) for x in zip(n.tolist(), batch.column(4).to_pylist(), m.tolist(),
+                                                      batch.column(5).to_pylist(), strict=True)], np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
+            pa.array(most >= shared_at_least(n, m)))
+
+
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shared, sizes = [], []
@@ -248,19 +287,32 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             names=["a", "b", "shared", "linked"])
 
 
-def verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
+def _met(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+    """``pairs`` with the columns of both sides' classes; classes without their bit are left out before a shuffle."""
+    bit = F.shiftrightunsigned("sig", 64 - BITS).alias("bit")
+    wanted = _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("sig")).select(bit), "bit")
+    own = sets.select("sig", *columns)
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema)
+    own = own.mapInArrow(_wanted_batches(wanted), kinds).dropDuplicates(["sig"])
+    for side in ("b", "a"):
+        pairs = pairs.join(own.select(F.col("sig").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
+    return pairs.select("a", "b", *[f"{c}_{side}" for c in columns for side in ("a", "b")])
+
+
+def verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     """a, b (signatures), shared and linked of each pair, from the whole sets."""
-    sides = pairs.select(F.explode(F.array("a", "b")).alias("sig")).select(
-        F.shiftrightunsigned("sig", 64 - BITS).alias("bit"))
-    wanted = _bitmap(sides, "bit")
-    held = texts.select("text").mapInArrow(_set_batches(wanted), "sig long, held binary")
-    held = held.dropDuplicates(["sig"])
-    met = pairs.join(held.select(F.col("sig").alias("b"), F.col("held").alias("held_b")), "b") \
-        .join(held.select(F.col("sig").alias("a"), F.col("held").alias("held_a")), "a")
-    return written(met.select("a", "b", "held_a", "held_b").mapInArrow(
+    return written(_met(pairs, sets, ["held"]).mapInArrow(
         _verify_batches, "a long, b long, shared long, linked boolean"), name)
 
 
+def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs whose sides are not in one component."""
+    for side in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}")), side,
+                           "left")
+    return pairs.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
+
+
 def components(links: DataFrame, name: str = "labels") -> DataFrame:
     """node and label, the smallest node reachable, of every node of the links (a, b).
 
@@ -346,7 +398,11 @@ def links_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
     close = F.least(F.col("n") - F.col("pos"), F.col("lead_n") - F.col("lead_pos")) >= least
     pairs = written(members.where(close & (F.col("sig") != F.col("lead"))).select(
         F.col("lead").alias("a"), F.col("sig").alias("b")).distinct(), "led")
-    answers = verified(pairs, texts, "answers")
+    bit = F.shiftrightunsigned("sig", 64 - BITS).alias("bit")
+    sets = written(texts.select("text").mapInArrow(_set_batches(_bitmap(
+        lists.select(F.explode("sigs").alias("sig")).select(bit), "bit")),
+        "sig long, size long, sketch binary, held binary"), "sets")
+    answers = verified(pairs, sets, "answers")
     labels = components(answers.where("linked"), "led-labels")
     # lists of two are settled; of others, those whose members are in more than one component are left
     totals = lists.groupBy("token").agg(F.max("total").alias("total")).where("total > 2")
@@ -372,9 +428,19 @@ def links_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
     opened = written(rows.repartition("part").sortWithinPartitions("part").mapInArrow(
         _open_batches, "a long, b long, forced boolean").groupBy("a", "b").agg(F.max("forced").alias("forced")),
         "open")
-    more = verified(opened.where("NOT forced").select("a", "b"), texts, "more")
-    return answers.where("linked").select("a", "b").union(more.where("linked").select("a", "b")).union(
-        opened.where("forced").select("a", "b"))
+    links = answers.where("linked").select("a", "b").union(opened.where("forced").select("a", "b"))
+    left = written(_met(opened.where("NOT forced").select("a", "b"), sets, ["size", "sketch"]).mapInArrow(
+        _prune_batches, "a long, b long"), "left")
+    # one partner a class and round, as links make most of the other pairs needless; then whatever is left
+    for n in range(ROUNDS):
+        left = written(across(left, components(links, f"round-{n}")), "left")
+        if n + 1 < ROUNDS:
+            tried = written(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried")
+            left = left.join(tried, ["a", "b"], "left_anti")
+        else:
+            tried = left
+        links = links.union(verified(tried, sets, "more").where("linked").select("a", "b"))
+    return links
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
