@@ -175,5 +175,5 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", min_w
     t = F.col(f"__c{names.index(text)}")
     left = F.array_join(F.filter(F.split(t, "\n", -1), lambda line, n: ~F.array_contains("gone", n)), "\n")
     whole = F.when(F.col("gone").isNull(), t).otherwise(left)
-    return plain.join(gone, "who", "left").select(
+    return plain.join(gone.hint("merge"), "who", "left").select(  # one plan at every size
         *[(whole if c == text else F.col(f"__c{n}")).alias(c) for n, c in enumerate(names)])
