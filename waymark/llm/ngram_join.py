@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.tables import written
+from waymark.llm.tables import small_batches, written
 from waymark.llm.text import Chunk, chunks, mixed, owners, shingles
 
 WORDS = 5
@@ -43,6 +43,7 @@ BITS = 23
 HASHES_COUNTED = 4_000_000
 OFTEN = 8
 ROUNDS = 3
+SETS_PER_BATCH = 1000
 _LAST = (1 << 63) - 1
 
 
@@ -450,7 +451,8 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     found = written(texts.mapInArrow(_class_batches, "doc long, n long, sig long"), "classes")
     common = _bitmap(found.where("n = -1").select(F.col("sig").alias("bit")), "bit")
     classes = found.where("n >= 0")
-    labels = components(links_of(texts, common), "labels")
+    with small_batches(docs.sparkSession, SETS_PER_BATCH):
+        labels = components(links_of(texts, common), "labels")
     salted = classes.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
     by_salt = salted.where("n > 0").groupBy("sig", "salt").agg(F.min("doc").alias("first"))
     firsts = by_salt.groupBy("sig").agg(F.min("first").alias("first"), F.collect_list("salt").alias("salts"))

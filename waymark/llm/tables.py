@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,3 +36,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Arrow batches of at most so many rows, for jobs that run inside and whose rows hold whole sets."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
