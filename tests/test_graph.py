@@ -35,7 +35,7 @@ def test_parents_count_once_and_respect_the_type(build):
     assert row(rows, 7, RELATION).parents is None and row(rows, 8, RELATION).parents is None
 
 
-def test_caps(build):
+def test_whole_lists_and_caps(build):
     for way in range(101):
         build.way_of_nodes(way, [1_000_000])
     build.way(500, [(0, 0)])
@@ -43,12 +43,19 @@ def test_caps(build):
     tables = build.tables()
     rows = features(tables, ALL)
     relation, node = row(rows, 1, RELATION), row(rows, 1_000_000, NODE)
+    assert [m.role for m in relation.members] == [str(n) for n in range(1001)]
+    assert len(node.parents) == 102
+    assert relation.members_truncated == node.parents_truncated == 0
+    assert member_counts(tables).first()[1:] == (1001, 0)
+    assert parent_counts(tables, NODE).where("fid = 1000000").first()[1:] == (102, 0)
+    rows = features(tables, ALL, max_members=1000, max_parents=100)
+    relation, node = row(rows, 1, RELATION), row(rows, 1_000_000, NODE)
     assert len(relation.members) == 1000 and relation.members_truncated == 1
     assert [m.role for m in relation.members] == [str(n) for n in range(1000)]
     assert len(node.parents) == 100 and node.parents_truncated == 2
     assert [p.id for p in node.parents] == [str(n) for n in range(100)]
-    assert member_counts(tables).first()[1:] == (1000, 1)
-    assert parent_counts(tables, NODE).where("fid = 1000000").first()[1:] == (100, 2)
+    assert member_counts(tables, 1000).first()[1:] == (1000, 1)
+    assert parent_counts(tables, NODE, 100).where("fid = 1000000").first()[1:] == (100, 2)
 
 
 def test_rows_and_arrays_agree(build):

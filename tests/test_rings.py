@@ -248,3 +248,14 @@ def test_long_ring_split_over_spans(build):
         rows = relation_measures(area_relations(build.tables(span))).orderBy("relation_id").collect()
         assert [(r.n_points, r.n_holes, r.area_units) for r in rows] == [
             (106, 1, 4900 * 5000 - 100)] * 2
+
+
+def test_rings_of_large_keys(spark, tmp_path):
+    """Customer keys near ten thousand million give the closed-form areas."""
+    from waymark.plans.catalog import QUERIES
+
+    keys = [10_000_000_000 + n for n in range(30)]
+    spark.createDataFrame([(k, f"c{k}") for k in keys], "c_custkey long, c_name string").write.parquet(
+        str(tmp_path / "customer.parquet"))
+    got = {(r.relation_id, r.role): r.area_units for r in QUERIES["q_ring_count"](spark, str(tmp_path)).collect()}
+    assert got == {**{(k, "outer"): 1000000 for k in keys if k % 11}, **{(k, "inner"): 40000 for k in keys if k % 5 == 0}}

@@ -13,7 +13,7 @@ from waymark.functions.units import to_meters
 from waymark.operators.graph import member_arrays, member_counts, parent_arrays, parent_counts
 from waymark.operators.multipolygons import area_relations, relation_bounds, relation_geometry
 from waymark.operators.ways import way_points, way_shapes
-from waymark.schema import FEATURE_TYPES, MAX_MEMBERS, MAX_PARENTS, NODE, RELATION, WAY
+from waymark.schema import FEATURE_TYPES, NODE, RELATION, WAY
 from waymark.sources.tables import OsmTables, read_tables, tags_or_empty
 
 ALL_TYPES = (NODE, WAY, RELATION)
@@ -25,7 +25,7 @@ _ALIASES = {"way": "geom"}
 
 def features(tables: OsmTables, columns: Iterable[str] = ("fid", "type", "tags", "is_area"),
              where: Column | None = None, types: Iterable[int] = ALL_TYPES,
-             max_members: int = MAX_MEMBERS, max_parents: int = MAX_PARENTS,
+             max_members: int | None = None, max_parents: int | None = None,
              declared: Mapping[str, str] | None = None) -> DataFrame:
     """Features with the named columns; a name nobody knows gives NULL.
 

@@ -13,19 +13,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.tags import type_name
-from waymark.schema import MAX_MEMBERS, MAX_PARENTS, NODE, RELATION, WAY
+from waymark.schema import NODE, RELATION, WAY
 from waymark.sources.tables import OsmTables
 
 _SALTS = 64
 
 
-def first_n(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
-    """The first ``n`` rows of each key.
+def first_n(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int | None) -> DataFrame:
+    """The first ``n`` rows of each key; all of them without ``n``.
 
     Spark cuts each key to n rows per input partition before the shuffle, as
     long as n is within its group-limit threshold. Above that, a salted cut
     spreads a hot key first.
     """
+    if n is None:
+        return df
     limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n > limit:
         salted = df.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(_SALTS)))
@@ -57,7 +59,7 @@ def member_edges(tables: OsmTables, relation_ids: DataFrame | None = None) -> Da
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def unnest_members(tables: OsmTables, max_members: int = MAX_MEMBERS,
+def unnest_members(tables: OsmTables, max_members: int | None = None,
                    relation_ids: DataFrame | None = None) -> DataFrame:
     """One row per entry of the members array, without building the array."""
     return (_first_members(member_edges(tables, relation_ids), max_members)
@@ -65,9 +67,9 @@ def unnest_members(tables: OsmTables, max_members: int = MAX_MEMBERS,
                     "role"))
 
 
-def member_arrays(tables: OsmTables, max_members: int = MAX_MEMBERS,
+def member_arrays(tables: OsmTables, max_members: int | None = None,
                   relation_ids: DataFrame | None = None) -> DataFrame:
-    """(relation_id, members): entries in member order, at most ``max_members``."""
+    """(relation_id, members): entries in member order; only the first ``max_members`` if given."""
     rows = _first_members(member_edges(tables, relation_ids), max_members)
     entry = F.struct("seq", *_entry("member_type", "member_id"), "role")
     return rows.groupBy("relation_id").agg(
@@ -76,7 +78,7 @@ def member_arrays(tables: OsmTables, max_members: int = MAX_MEMBERS,
                                        e["role"].alias("role"))).alias("members"))
 
 
-def member_counts(tables: OsmTables, max_members: int = MAX_MEMBERS,
+def member_counts(tables: OsmTables, max_members: int | None = None,
                   relation_ids: DataFrame | None = None) -> DataFrame:
     """(relation_id, member_count, members_truncated) from a plain count."""
     return _counts(member_edges(tables, relation_ids), ["relation_id"], max_members,
@@ -110,16 +112,16 @@ def parent_edges(tables: OsmTables, child_type: int,
     return edges.distinct() if distinct else edges
 
 
-def unnest_parents(tables: OsmTables, child_type: int, max_parents: int = MAX_PARENTS,
+def unnest_parents(tables: OsmTables, child_type: int, max_parents: int | None = None,
                    child_ids: DataFrame | None = None) -> DataFrame:
     """One row per entry of the parents array, without building the array."""
     return (_first_parents(parent_edges(tables, child_type, child_ids), max_parents)
             .select("fid", *_entry("parent_type", "parent_id")))
 
 
-def parent_arrays(tables: OsmTables, child_type: int, max_parents: int = MAX_PARENTS,
+def parent_arrays(tables: OsmTables, child_type: int, max_parents: int | None = None,
                   child_ids: DataFrame | None = None) -> DataFrame:
-    """(fid, parents): ordered by parent type and id, at most ``max_parents``."""
+    """(fid, parents): ordered by parent type and id; only the first ``max_parents`` if given."""
     rows = _first_parents(parent_edges(tables, child_type, child_ids), max_parents)
     return rows.groupBy("fid").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("parent_type", "parent_id"))),
@@ -127,7 +129,7 @@ def parent_arrays(tables: OsmTables, child_type: int, max_parents: int = MAX_PAR
         .alias("parents"))
 
 
-def parent_counts(tables: OsmTables, child_type: int, max_parents: int = MAX_PARENTS,
+def parent_counts(tables: OsmTables, child_type: int, max_parents: int | None = None,
                   child_ids: DataFrame | None = None) -> DataFrame:
     """(fid, parent_count, parents_truncated) from a plain count."""
     return _counts(parent_edges(tables, child_type, child_ids), ["fid"], max_parents,
@@ -142,6 +144,8 @@ def _first_parents(edges, max_parents):
 
 def _counts(edges, key, cap, count_name, truncated_name):
     total = edges.groupBy(*key).agg(F.count("*").alias("total"))
+    if cap is None:
+        return total.select(*key, F.col("total").alias(count_name), F.lit(0).cast("long").alias(truncated_name))
     return total.select(*key, F.least("total", F.lit(cap)).alias(count_name),
                         F.greatest(F.col("total") - cap, F.lit(0)).alias(truncated_name))
 

@@ -11,7 +11,7 @@ from waymark.functions.tags import tag, tag_equals
 from waymark.operators.features import ALL_TYPES, features
 from waymark.operators.graph import member_counts, parent_counts, unnest_members, unnest_parents
 from waymark.plans.oracle import with_tables
-from waymark.schema import MAX_MEMBERS, MAX_PARENTS, RELATION
+from waymark.schema import RELATION
 from waymark.sources.derived import derived_tables, ring_tables
 
 
@@ -86,9 +86,9 @@ def parent_count(spark, path):
 
 
 QUERIES = {
-    "q_members": _members(MAX_MEMBERS),
+    "q_members": _members(None),
     "q_members_capped": _members(100),
-    "q_parents": _parents(MAX_PARENTS),
+    "q_parents": _parents(None),
     "q_parents_capped": _parents(20),
     "q_unnest_members": unnested_members,
     "q_multipolygon_members": multipolygon_members,
@@ -99,7 +99,7 @@ QUERIES = {
 }
 
 
-def _members_sql(cap):
+def _members_sql(cap=1 << 62):
     return with_tables(f"""
         SELECT relation_id AS fid, CAST(count(*) AS INTEGER) AS n,
                string_agg(mtype || ':' || member_id || ':' || role, ',' ORDER BY seq) AS entries,
@@ -107,7 +107,7 @@ def _members_sql(cap):
         FROM members WHERE rn <= {cap} GROUP BY relation_id""", "members")
 
 
-def _parents_sql(cap):
+def _parents_sql(cap=1 << 62):
     return with_tables(f"""
         SELECT child_id AS fid, child_type AS type, CAST(count(*) AS INTEGER) AS n,
                string_agg(ptype || ':' || parent_id, ',' ORDER BY rn) AS entries,
@@ -116,18 +116,18 @@ def _parents_sql(cap):
 
 
 _MEMBER_COUNT = f"""
-    SELECT id AS fid, name, least(n, {MAX_MEMBERS}) AS member_count FROM relations
+    SELECT id AS fid, name, n AS member_count FROM relations
     JOIN (SELECT relation_id, count(*) AS n FROM members GROUP BY relation_id) ON relation_id = id"""
 
 ORACLES = {
-    "q_members": _members_sql(MAX_MEMBERS),
+    "q_members": _members_sql(),
     "q_members_capped": _members_sql(100),
-    "q_parents": _parents_sql(MAX_PARENTS),
+    "q_parents": _parents_sql(),
     "q_parents_capped": _parents_sql(20),
     "q_unnest_members": with_tables(f"""
         SELECT id AS fid, name AS relation_name, CAST(member_id AS VARCHAR) AS member_id,
                mtype AS member_type, role AS member_role
-        FROM members JOIN relations ON id = relation_id WHERE rn <= {MAX_MEMBERS}""", "members"),
+        FROM members JOIN relations ON id = relation_id""", "members"),
     "q_multipolygon_members": """
         SELECT c_custkey AS fid, c_name AS name, CAST(c_custkey * 8 + i AS VARCHAR) AS member_id,
                'way' AS member_type, CASE WHEN i < pieces THEN 'outer' ELSE 'inner' END AS member_role
@@ -137,13 +137,12 @@ ORACLES = {
     "q_unnest_parents": with_tables(f"""
         SELECT child_id AS fid, child_type AS feature_type, name AS feature_name,
                CAST(parent_id AS VARCHAR) AS parent_id, ptype AS parent_type
-        FROM parents JOIN features ON fid = child_id AND type = child_type
-        WHERE rn <= {MAX_PARENTS}""", "parents", "features"),
+        FROM parents JOIN features ON fid = child_id AND type = child_type""", "parents", "features"),
     "q_member_count": with_tables(_MEMBER_COUNT, "members"),
     "q_member_count_limit": with_tables(_MEMBER_COUNT + " ORDER BY fid LIMIT 10", "members"),
     "q_parent_count": with_tables(f"""
         SELECT fid, type AS feature_type, name AS feature_name,
-               least(n, {MAX_PARENTS}) AS parent_count
+               n AS parent_count
         FROM features JOIN (SELECT child_id, child_type, count(*) AS n FROM parents
                             GROUP BY child_id, child_type)
           ON child_id = fid AND child_type = type""", "parents", "features"),

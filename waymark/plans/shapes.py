@@ -199,7 +199,7 @@ _RINGS = """
                      CASE WHEN c_custkey % 11 = 0 THEN 500 WHEN c_custkey % 7 = 0 THEN 50
                           ELSE 0 END AS gap,
                      c_custkey % 5 = 0 AS holed,
-                     (c_custkey % 1000) * 5000 AS x0, (c_custkey // 1000) * 5000 AS y0
+                     (c_custkey % 1000) * 5000 AS x0, (c_custkey // 1000 % 400000) * 5000 AS y0
               FROM customer)"""
 _OUTLINE_STATUS = "CASE gap WHEN 0 THEN 'closed' WHEN 50 THEN 'gap_closed' ELSE 'discarded' END"
 

@@ -13,8 +13,6 @@ METERS_PER_UNIT = 40075016.68558 / 4294967294.9999
 UNITS_PER_METER = 4294967294.9999 / 40075016.68558
 MIN_UNIT, MAX_UNIT = -2147483648, 2147483647
 EARTH_RADIUS = 6378137.0
-MAX_MEMBERS = 1000
-MAX_PARENTS = 100
 # Ring ends closer than this, on both axes, are joined by one more point.
 MAX_GAP_UNITS = 100
 
