@@ -350,6 +350,20 @@ def components(links: DataFrame, name: str = "labels") -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """The labels once the links (a, b) are added: the links join labels, so only those go through new rounds."""
+    for side in ("a", "b"):
+        links = links.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}")), side,
+                           "left")
+    placed = written(links.select("a", "b", F.coalesce("label_a", "a").alias("x"), F.coalesce("label_b", "b").alias(
+        "y")), f"{name}-placed")
+    higher = components(placed.where("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")), name)
+    own = placed.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("x").alias("label")), F.struct(
+        F.col("b").alias("node"), F.col("y").alias("label")))).alias("s")).select("s.node", "s.label")
+    return written(labels.union(own).distinct().join(higher.select(F.col("node").alias("label"), F.col("label").alias(
+        "top")), "label", "left").select("node", F.coalesce("top", "label").alias("label")), f"{name}-all")
+
+
 def _open_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs of a list's members in different components that neither position nor the leader's answers settle.
 
@@ -401,8 +415,8 @@ def _open_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pairs(held)
 
 
-def links_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
-    """a and b of links between classes that connect every component."""
+def labels_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
+    """node and label, the smallest linked class, of every class that has links."""
     postings = texts.select("text").mapInArrow(_posting_batches(common), "token long, sig long, n int, pos int")
     lists = written(postings.repartition("token").sortWithinPartitions("token", "n", "sig").mapInArrow(
         _list_batches, LIST), "lists")
@@ -443,19 +457,22 @@ def links_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
     opened = written(rows.repartition("part").sortWithinPartitions("part").mapInArrow(
         _open_batches, "a long, b long, forced boolean").groupBy("a", "b").agg(F.max("forced").alias("forced")),
         "open")
-    links = answers.where("linked").select("a", "b").union(opened.where("forced").select("a", "b"))
-    left = written(_met(opened.where("NOT forced").select("a", "b"), sets, ["size", "sketch"]).mapInArrow(
-        _prune_batches, "a long, b long"), "left")
+    labels = merged(labels, opened.where("forced").select("a", "b"), "forced")
+    left = written(across(opened.where("NOT forced").select("a", "b"), labels), "apart")
+    left = written(_met(left, sets, ["size", "sketch"]).mapInArrow(_prune_batches, "a long, b long"), "left")
     # one partner a class and round, as links make most of the other pairs needless; then whatever is left
     for n in range(ROUNDS):
-        left = written(across(left, components(links, f"round-{n}")), "left")
+        if left.isEmpty():
+            break
         if n + 1 < ROUNDS:
             tried = written(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried")
             left = left.join(tried, ["a", "b"], "left_anti")
         else:
             tried = left
-        links = links.union(verified(tried, sets, "more").where("linked").select("a", "b"))
-    return links
+        labels = merged(labels, verified(tried, sets, "more").where("linked").select("a", "b"), f"round-{n}")
+        if n + 1 < ROUNDS:
+            left = written(across(left, labels), "left")
+    return labels
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -466,7 +483,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     common = _bitmap(found.where("n = -1").select(F.col("sig").alias("bit")), "bit")
     classes = found.where("n >= 0")
     with small_batches(docs.sparkSession, SETS_PER_BATCH):
-        labels = components(links_of(texts, common), "labels")
+        labels = labels_of(texts, common)
     salted = classes.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
     by_salt = salted.where("n > 0").groupBy("sig", "salt").agg(F.min("doc").alias("first"))
     firsts = by_salt.groupBy("sig").agg(F.min("first").alias("first"), F.collect_list("salt").alias("salts"))
