@@ -4,9 +4,10 @@ A token sequence is the BPE encoding of its bytes exactly if every token, and ev
 itself: no merge crosses a border in the end, so each stretch between borders evolves as it would alone. Encoding is
 thus a local condition, which a non-deterministic transducer checks: its states are a place in the trie of tokens
 together with the last token finished. ``Transducer`` determinises it while it reads: a state of the result is the
-set of live places, each with the tokens not yet agreed on; tokens are emitted as soon as all live places agree,
-which no input can delay by more than a few longest tokens. Every step is memoised, so known states cost one lookup
-per byte, and a piece of any length takes linear time.
+set of live places, and a step gives out the token that ends the one encoding of the bytes so far. Live places have
+their earlier tokens in common up to a border at most a few longest tokens back, so the tokens before it are final;
+``stream`` gives them out window by window. Every step is memoised, so known states cost one lookup per byte, and a
+piece of any length takes linear time.
 
 Decoding maps ids to bytes and passes them through ``Utf8Stream``, which gives out whole characters and holds back at
 most three bytes, so a stream can be decoded token by token.
@@ -21,9 +22,10 @@ from __future__ import annotations
 import base64
 import gc
 import hashlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Iterable, Iterator, Sequence
 from functools import cached_property
-from itertools import chain
+from itertools import batched, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +35,12 @@ from pyspark.sql import functions as F
 
 #: States of the determinised transducer, and pieces, kept by a worker; beyond, they start anew. Results don't depend
 #: on either.
-MAX_STATES = 150_000
+MAX_STATES = 400_000
 MAX_PIECES = 300_000
+#: Bytes after which the tokens agreed on are given out.
+WINDOW = 1024
+#: Bytes decoded at a time.
+GROUP = 65_536
 
 
 def read_ranks(lines: Iterable[bytes]) -> dict[bytes, int]:
@@ -76,6 +82,7 @@ class Transducer:
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.trie: list[dict[int, int]] = [{}]
         self.token: list[int] = [-1]
+        self.depth: list[int] = [0]
         for token, rank in ranks.items():
             node = 0
             for byte in token:
@@ -84,18 +91,20 @@ class Transducer:
                     nxt = self.trie[node][byte] = len(self.trie)
                     self.trie.append({})
                     self.token.append(-1)
+                    self.depth.append(self.depth[node] + 1)
                 node = nxt
             self.token[node] = rank
+        self.size = {rank: len(token) for token, rank in ranks.items()}
         self._fits: dict[tuple[int, int], bool] = {}
         self._moments: dict[int, list | None] = {}
         self._reset()
 
     def _reset(self) -> None:
         self.states: dict[tuple, dict] = {}
-        self.start = self._state(((0, -1, ()),))
+        self.start = self._state(((0, -1),))
 
     def _state(self, places: tuple) -> dict:
-        """A state: its live places under -1, and under each byte met so far the next state and the tokens agreed."""
+        """A state: its live places under -1, and under each byte met so far the next state and the token ending there."""
         state = self.states.get(places)
         if state is None:
             state = self.states[places] = {-1: places}
@@ -139,56 +148,84 @@ class Transducer:
             self._fits[pair] = known
         return known
 
-    def _step(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
-        """The next state and the tokens that all live places now agree on."""
-        live, done, trie, token_at = [], None, self.trie, self.token
-        for node, last, pending in state[-1]:
+    def _step(self, state: dict, byte: int) -> tuple[dict, int]:
+        """The next state, and the last token of the one encoding of the bytes so far."""
+        live, done, trie, token_at, known = [], -1, self.trie, self.token, self._fits
+        for node, last in state[-1]:
             nxt = trie[node].get(byte)
             if nxt is None:
                 continue
             if trie[nxt]:
-                live.append((nxt, last, pending))
-            if done is None and (token := token_at[nxt]) >= 0 and self.fits(last, token):
-                done = (0, token, (*pending, token))  # one encoding of the bytes so far, so one such place
-        live.append(done)
-        first = live[0][2]
-        agreed, shortest = 0, min([len(p) for _, _, p in live]) if first else 0
-        while agreed < shortest and all([p[agreed] == first[agreed] for _, _, p in live]):
-            agreed += 1
-        out = first[:agreed]
-        places = tuple([(node, last, p[agreed:]) for node, last, p in live] if agreed else live)
+                live.append((nxt, last))
+            if done < 0 and (token := token_at[nxt]) >= 0:
+                fit = known.get((last, token))
+                if self.fits(last, token) if fit is None else fit:
+                    done = token
+        live.append((0, done))
         if len(self.states) >= self.max_states:
             self._reset()
-            return self._state(places), out
-        found = state[byte] = self._state(places), out
+            return self._state(tuple(live)), done
+        found = state[byte] = self._state(tuple(live)), done
         return found
 
-    def encode(self, piece: bytes) -> tuple[int, ...]:
-        state, out, step_from = self.start, [], self._step
+    def _agreed(self, state: dict, ends: list[int]) -> int:
+        """The latest border that all live places have behind them; ``ends`` has the token that ends at each byte."""
+        at, depth, size = len(ends), self.depth, self.size
+        borders = {at - depth[node] for node, _ in state[-1]}
+        while len(borders) > 1:
+            last = max(borders)
+            borders.remove(last)
+            borders.add(last - size[ends[last - 1]])
+        return borders.pop()
+
+    def _back(self, ends: list[int], border: int) -> list[int]:
+        """The tokens up to a border."""
+        out, size = [], self.size
+        while border:
+            token = ends[border - 1]
+            out.append(token)
+            border -= size[token]
+        out.reverse()
+        return out
+
+    def stream(self, data: bytes, window: int = WINDOW) -> Iterator[list[int]]:
+        """Tokens of a piece, given out after every ``window`` bytes as far as all live places agree."""
+        state, ends, step = self.start, [], self._step
+        for first in range(0, len(data), window):
+            for byte in data[first:first + window]:
+                try:
+                    state, token = state[byte]
+                except KeyError:
+                    state, token = step(state, byte)
+                ends.append(token)
+            border = self._agreed(state, ends) if first + window < len(data) else len(ends)
+            yield self._back(ends, border)
+            del ends[:border]
+
+    def encode(self, piece: bytes) -> list[int]:
+        if len(piece) > WINDOW:
+            return list(chain.from_iterable(self.stream(piece)))
+        state, ends, step = self.start, [], self._step
         for byte in piece:
             try:
-                state, ready = state[byte]
+                state, token = state[byte]
             except KeyError:
-                state, ready = step_from(state, byte)
-            if ready:
-                out += ready
-        for node, _, pending in state[-1]:
-            if node == 0:
-                out += pending
-        return tuple(out)
+                state, token = step(state, byte)
+            ends.append(token)
+        return self._back(ends, len(ends))
 
 
 class _Pieces(dict):
-    """Ids of each piece, encoded when first met. When full, it keeps what it held for one more round."""
+    """Ids of each piece as 32-bit numbers, encoded when first met. When full, it keeps what it held for one more round."""
 
     def __init__(self, transducer: Transducer):
         super().__init__()
         self.transducer, self.older = transducer, {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __missing__(self, piece: str) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = self.transducer.encode(piece.encode("utf-8"))
+            ids = array("i", self.transducer.encode(piece.encode("utf-8"))).tobytes()
         if len(piece) <= 64:
             if len(self) >= MAX_PIECES:
                 self.older = dict(self)
@@ -232,35 +269,60 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
+class _Strings:
+    """A byte string for every id, joined for whole arrays of ids."""
+
+    def __init__(self, of: dict[int, bytes]):
+        self.table = pa.array([of.get(k) for k in range(max(of, default=-1) + 1)], pa.large_binary())
+
+    def joined(self, ids: pa.Array) -> tuple[memoryview, np.ndarray]:
+        """The strings of all ids one after the other, and where each begins (n + 1 numbers)."""
+        found = self.table.take(ids)
+        if found.null_count:
+            raise KeyError("an id without a token")
+        _, ends, data = found.buffers()
+        return memoryview(data or b""), np.frombuffer(ends, np.int64, len(found) + 1, found.offset * 8)
+
+
 class Codec:
     """Texts to ids and back. ``pattern`` splits a text into the pieces that are encoded by themselves."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.text_of = {rank: str(rank) for rank in self.bytes_of}
 
     @cached_property
     def pieces(self) -> _Pieces:
         return _Pieces(Transducer(self.ranks))
 
+    @cached_property
+    def tokens(self) -> _Strings:
+        return _Strings({rank: token for token, rank in self.ranks.items()})
+
+    @cached_property
+    def numbers(self) -> _Strings:
+        return _Strings({rank: b"%d," % rank for rank in self.ranks.values()})
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), np.int32)
+
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.pieces.__getitem__, self.split(text))))
+        return self.ids(text).tolist()
 
     def decode(self, ids: Iterable[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids))
+        return bytes(self.tokens.joined(pa.array(ids, pa.int32()))[0])
 
     def decode_stream(self, ids: Iterable[int], group: int = 4096) -> Iterator[str]:
         """Text of a stream of ids, ``group`` ids at a time; characters are never cut."""
-        stream, part = Utf8Stream(), []
-        for token in ids:
-            part.append(token)
-            if len(part) >= group:
-                yield stream.feed(self.decode(part))
-                part = []
-        yield stream.feed(self.decode(part))
-        yield stream.close()
+        return characters(self.decode(part) for part in batched(ids, group))
+
+
+def characters(parts: Iterable[bytes]) -> Iterator[str]:
+    """Text of a stream of bytes."""
+    stream = Utf8Stream()
+    for part in parts:
+        yield stream.feed(part)
+    yield stream.close()
 
 
 _codecs: dict[tuple[str, str], Codec] = {}
@@ -287,11 +349,11 @@ def encoded(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     kind = source.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = codec(path, pattern).encode
+        encode = codec(path, pattern).ids
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 part = batch.slice(first, 256)
-                ids = [np.array(encode(t), np.int32) for t in _texts(part.column(1))]
+                ids = [encode(t) for t in _texts(part.column(1))]
                 n = np.array([len(x) for x in ids], np.int64)
                 ends = np.concatenate(([0], np.cumsum(n))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -301,10 +363,12 @@ def encoded(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
     return source.mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids array<int>")
 
 
-def decoded(tokens: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
-    """``key``, n_tokens, ids and their checksum, and the decoded text with the checksum of its bytes."""
+def decoded(tokens: DataFrame, path: str, pattern: str, key: str = "doc_id",
+            keep: Sequence[str] = ("ids", "decoded")) -> DataFrame:
+    """``key``, n_tokens, checksums of the ids and of the decoded bytes, and of ids and decoded text those in ``keep``."""
     source = tokens.select(F.col(f"`{key}`"), "n_tokens", "ids")
-    kind = source.schema[0].dataType.simpleString()
+    kinds = {key: source.schema[0].dataType.simpleString(), "n_tokens": "long", "ids_sha256": "string",
+             "decoded_sha256": "string"} | {c: {"ids": "array<int>", "decoded": "string"}[c] for c in keep}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
@@ -313,17 +377,19 @@ def decoded(tokens: DataFrame, path: str, pattern: str, key: str = "doc_id") ->
                 part = batch.slice(first, 256)
                 sums, texts, hashes = [], [], []
                 lists = part.column(2)
-                flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-                for k in range(len(lists)):
-                    ids = flat[ends[k]:ends[k + 1]].tolist()
-                    sums.append(hashlib.sha256(",".join(map(own.text_of.__getitem__, ids)).encode()).hexdigest())
-                    texts.append("".join(own.decode_stream(ids)))
-                    hashes.append(hashlib.sha256(texts[-1].encode()).hexdigest())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), lists, pa.array(sums, pa.string()), pa.array(texts, pa.string()),
-                     pa.array(hashes, pa.string())],
-                    names=[key, "n_tokens", "ids", "ids_sha256", "decoded", "decoded_sha256"])
-
-    return source.mapInArrow(
-        run, f"`{key}` {kind}, n_tokens long, ids array<int>, ids_sha256 string, decoded string, "
-             "decoded_sha256 string")
+                rows, ids = lists.offsets.to_numpy() - lists.offsets[0].as_py(), lists.flatten()
+                numbers, at = own.numbers.joined(ids)
+                data, ends = own.tokens.joined(ids)
+                for low, high in pairwise(rows):
+                    sums.append(hashlib.sha256(numbers[at[low]:max(at[high] - 1, at[low])]).hexdigest())
+                    begin, end = int(ends[low]), int(ends[high])
+                    text = "".join(characters(bytes(data[k:min(k + GROUP, end)]) for k in range(begin, end, GROUP)))
+                    hashes.append(hashlib.sha256(text.encode()).hexdigest())
+                    if "decoded" in keep:
+                        texts.append(text)
+                columns = {key: part.column(0), "n_tokens": part.column(1), "ids_sha256": pa.array(sums, pa.string()),
+                           "decoded_sha256": pa.array(hashes, pa.string())}
+                extra = {"ids": lists, "decoded": pa.array(texts, pa.string())}
+                yield pa.RecordBatch.from_pydict(columns | {c: extra[c] for c in keep})
+
+    return source.mapInArrow(run, ", ".join(f"`{c}` {kind}" for c, kind in kinds.items()))
