@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 #: States of the determinised transducer, and pieces, kept by a worker; beyond, they start anew. Results don't depend
 #: on either.
-MAX_STATES = 400_000
-MAX_PIECES = 300_000
+MAX_STATES = 150_000
+MAX_PIECES = 200_000
 #: Bytes after which the tokens agreed on are given out.
 WINDOW = 1024
 #: Bytes decoded at a time.
@@ -143,7 +143,7 @@ class Transducer:
                     a += 1
                 else:
                     b += 1
-            if len(self._fits) >= 4 * self.max_states:
+            if len(self._fits) >= 2 * self.max_states:
                 self._fits.clear()
             self._fits[pair] = known
         return known
