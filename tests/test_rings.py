@@ -111,37 +111,30 @@ def test_area_way_without_closing_node_is_closed(build):
     assert (m.n_polygons, m.n_holes, m.area_units) == (1, 1, 1000000 - 100)
 
 
-# -- against a plain restatement of the merging rule --------------------------
-
-def restart_merging(first, last, count):
-    """Scan from the lowest chain again after every join, as the rule is worded."""
-    chains = {i: [f, t, n, [(i, False)]] for i, (f, t, n) in enumerate(zip(first, last, count))}
-
-    def is_open(c):
-        return not (c[2] >= 4 and c[0] == c[1])
-
-    def step():
-        for i in sorted(chains):
-            if not is_open(chains[i]):
-                continue
-            for j in sorted(chains):
-                if j == i or not is_open(chains[j]):
-                    continue
-                a, b = chains[i], chains[j]
-                if a[1] == b[0]:
-                    tail, path = b[1], b[3]
-                elif a[1] == b[1]:
-                    tail, path = b[0], [(w, not f) for w, f in reversed(b[3])]
-                else:
-                    continue
-                chains[i] = [a[0], tail, a[2] + b[2] - 1, a[3] + path]
-                del chains[j]
-                return True
-        return False
-
-    while step():
-        pass
-    return sorted((c[0], c[1], c[2], not is_open(c), c[3]) for c in chains.values())
+# -- what any result of the merging rule must fulfil --------------------------
+
+def ends_open(first, last, count):
+    return count < 4 or first != last
+
+
+def check_chains(ways, chains):
+    """Each way is in one chain; chains connect and count right; no tail is left with a partner; slot 0 chose first."""
+    assert sorted(w for *_, path in chains for w, _ in path) == list(range(len(ways)))
+    for first, last, count, closed, path in chains:
+        turned = [(ways[w][1], ways[w][0]) if back else ways[w][:2] for w, back in path]
+        assert all(a[1] == b[0] for a, b in zip(turned, turned[1:]))
+        assert (first, last) == (turned[0][0], turned[-1][1]) and not path[0][1]
+        assert count == sum(ways[w][2] for w, _ in path) - len(path) + 1
+        assert closed == (not ends_open(first, last, count))
+    loose = [c for c in chains if not c[3]]
+    assert not [1 for a in loose for b in loose if a is not b and a[1] in b[:2]]
+    if ends_open(*ways[0]):
+        partners = [w for w, way in enumerate(ways) if w and ends_open(*way) and ways[0][1] in way[:2]]
+        path = next(c[4] for c in chains if 0 in [w for w, _ in c[4]])
+        at = [w for w, _ in path].index(0)
+        beside = at - 1 if path[at][1] else at + 1
+        if partners:
+            assert path[beside][0] == min(partners)
 
 
 def random_ways(rng, n, points):
@@ -150,12 +143,20 @@ def random_ways(rng, n, points):
     return [r if r[0] != r[1] or r[2] < 4 else (r[0], r[1], 3) for r in rows]
 
 
-def test_growing_in_slot_order_equals_restarting():
+def test_chains_of_random_ways():
     rng = random.Random(1)
-    for _ in range(400):
+    for _ in range(2000):
         rows = random_ways(rng, rng.randrange(1, 14), rng.randrange(2, 9))
-        columns = [list(c) for c in zip(*rows)]
-        assert sorted(grow_chains(*columns)) == restart_merging(*columns)
+        check_chains(rows, list(grow_chains(*[list(c) for c in zip(*rows)])))
+
+
+def test_lowest_slot_grows_first():
+    # Slot 0 takes slot 1, not 2, at its tail; both that remain end where they began.
+    assert sorted(grow_chains([0, 1, 1], [1, 2, 3], [2, 2, 2])) == [
+        (0, 2, 3, False, [(0, False), (1, False)]), (1, 3, 2, False, [(2, False)])]
+    # Slot 0 has no partner at its tail; slot 1 grows over slot 2 and then takes it.
+    assert sorted(grow_chains([0, 5, 4], [1, 4, 0], [2, 2, 2])) == [
+        (5, 1, 4, False, [(1, False), (2, False), (0, False)])]
 
 
 def test_growing_long_chains_takes_linear_time():
