@@ -32,7 +32,7 @@ _TABLES = {
         SELECT c_custkey AS id, 'route' AS kind, c_name AS name, c_mktsegment AS network
         FROM customer
         UNION ALL
-        SELECT 1000000000 + r_regionkey, 'boundary', r_name, NULL FROM region""",
+        SELECT -1 - r_regionkey, 'boundary', r_name, NULL FROM region""",
     "relation_members": """
         SELECT c_custkey AS relation_id, 0 AS seq, 0 AS member_type, c_custkey AS member_id,
                'label' AS role FROM customer
@@ -41,12 +41,12 @@ _TABLES = {
                o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'outer' WHEN 'O' THEN 'inner' ELSE '' END
         FROM orders
         UNION ALL
-        SELECT c_custkey, 1000000000000, 1, 900000000 + c_custkey, 'outer'
+        SELECT c_custkey, 1000000000000, 1, -c_custkey, 'outer'
         FROM customer WHERE c_custkey % 13 = 0
         UNION ALL
-        SELECT 1000000000 + r_regionkey, 0, 0, r_regionkey, 'admin_centre' FROM region
+        SELECT -1 - r_regionkey, 0, 0, r_regionkey, 'admin_centre' FROM region
         UNION ALL
-        SELECT 1000000000 + n_regionkey,
+        SELECT -1 - n_regionkey,
                row_number() OVER (PARTITION BY n_regionkey ORDER BY c_custkey), 2, c_custkey,
                'subarea'
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",

@@ -16,8 +16,8 @@ from waymark.sources.tables import OsmTables, empty_tags
 
 # Fixed values of the derivation rules.
 X_FACTOR, Y_FACTOR = 2654435761, 2246822519
-REGION_BASE = 1000000000
-DANGLING_BASE = 900000000
+# Ids of regions and of ways that don't exist are negative, so no key of any size meets them.
+REGION_BASE = -1
 PRIORITY_TAGS = {
     "1-URGENT": ("building", "yes"),
     "2-HIGH": ("highway", "primary"),
@@ -112,7 +112,7 @@ def _relations(customer: DataFrame, region: DataFrame) -> DataFrame:
         F.create_map(F.lit("type"), F.lit("route"), F.lit("name"), F.col("c_name"),
                      F.lit("network"), F.col("c_mktsegment")).alias("tags"))
     boundaries = region.select(
-        (F.col("r_regionkey") + F.lit(REGION_BASE)).cast("long").alias("id"),
+        (F.lit(REGION_BASE) - F.col("r_regionkey")).cast("long").alias("id"),
         F.lit(False).alias("is_area"),
         F.create_map(F.lit("type"), F.lit("boundary"),
                      F.lit("name"), F.col("r_name")).alias("tags"))
@@ -128,7 +128,7 @@ def _members(orders, customer, nation, region) -> DataFrame:
     cust, order = F.col("c_custkey"), F.col("o_orderkey")
     status = F.col("o_orderstatus")
     way_role = F.when(status == "F", "outer").when(status == "O", "inner").otherwise("")
-    region_id = F.col("r_regionkey") + F.lit(REGION_BASE)
+    region_id = F.lit(REGION_BASE) - F.col("r_regionkey")
     in_region = (customer
                  .join(nation, customer.c_nationkey == nation.n_nationkey)
                  .select("c_custkey", F.col("n_regionkey").alias("r_regionkey")))
@@ -136,7 +136,7 @@ def _members(orders, customer, nation, region) -> DataFrame:
         rows(customer, cust, F.lit(0), NODE, cust, F.lit("label"))
         .unionByName(rows(orders, F.col("o_custkey"), order + 1, WAY, order, way_role))
         .unionByName(rows(customer.where(cust % 13 == 0), cust, F.lit(LAST_SEQ), WAY,
-                          cust + DANGLING_BASE, F.lit("outer")))
+                          -cust, F.lit("outer")))
         .unionByName(rows(region, region_id, F.lit(0), NODE, F.col("r_regionkey"),
                           F.lit("admin_centre")))
         .unionByName(rows(in_region, region_id, cust + 1, RELATION, cust, F.lit("subarea"))))
