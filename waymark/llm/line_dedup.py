@@ -8,7 +8,8 @@ it is rare only together with its neighbour.
 
 A pair is aligned by patience diff: lines unique in both anchor the longest increasing run, which grows to equal
 neighbours and splits the rest, to be aligned in turn. Aligned runs of MIN_WORDS words or more are deleted from the
-later document.
+later document, and so are common runs of so many words outside the alignment: repeated passages and passages in
+another order. No common run of MIN_WORDS words of a pair is left.
 
 Documents are ordered by key, then by a hash of the text. Defined results: null and empty texts stay as they are;
 rows with a null key come last in the order; rows equal in key and text are one document and all stay; lines without
@@ -26,13 +27,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.tables import written
-from waymark.llm.text import chunks
+from waymark.llm.text import chunks, mixed, owners, powers
 
 MIN_WORDS = 20
 SALTS = 64
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 
 
+def minimal_runs(lines: np.ndarray, words: np.ndarray, bounds: np.ndarray, min_words: int
+                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First line, last line and key of the shortest runs of ``min_words`` words from each line on and up to each line.
+
+    ``lines`` are hashes; document k has the lines from ``bounds[k]`` to ``bounds[k + 1]``. Every line of a block lies
+    in such a run inside the block.
+    """
+    n = len(lines)
+    total = np.concatenate(([0], np.cumsum(words, dtype=np.int64)))
+    own = owners(bounds)
+    at = np.arange(n)
+    end = np.searchsorted(total, total[:-1] + min_words, "left") - 1
+    begin = np.searchsorted(total, total[1:] - min_words, "right") - 1
+    onward, upto = end < bounds[1:][own], begin >= bounds[:-1][own]
+    first = np.concatenate((at[onward], begin[upto]))
+    last = np.concatenate((end[onward], at[upto]))
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(lines * powers(n), out=sums[1:])
+    raw = (sums[last + 1] - sums[first]) * powers(n, inverse=True)[first]
+    return first, last, mixed(raw + (last - first).astype(np.uint64))
+
+
 def _line_batches(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -110,15 +133,32 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def common_blocks(later: list[int], sizes: list[int], earlier: list[int], min_words: int) -> list[int]:
-    """Line numbers of the later document that lie in aligned runs of at least ``min_words`` words."""
-    gone, run = [], []
+    """Line numbers of the later document that lie in runs of at least ``min_words`` words both documents hold.
+
+    Aligned runs first; then what no one alignment holds, as passages that a document repeats or that stand in another
+    order: the minimal runs of the later document are looked up among those of the earlier one.
+    """
+    gone, run = set(), []
     for pair in [*aligned(later, earlier), (-9, -9)]:
         if run and (pair[0] != run[-1][0] + 1 or pair[1] != run[-1][1] + 1):
             if sum(sizes[i] for i, _ in run) >= min_words:
-                gone += [i for i, _ in run]
+                gone.update(i for i, _ in run)
             run = []
         run.append(pair)
-    return gone
+    if len(gone) < len(later):
+        words = dict(zip(later, sizes, strict=True))
+        # a line that only the earlier document has counts 0: no run with it is looked up
+        first, last, keys = minimal_runs(np.array(later, np.int64).view(np.uint64), np.array(sizes, np.int64),
+                                         np.array([0, len(later)]), min_words)
+        known = minimal_runs(np.array(earlier, np.int64).view(np.uint64),
+                             np.array([words.get(x, 0) for x in earlier], np.int64),
+                             np.array([0, len(earlier)]), min_words)[2]
+        edge = np.zeros(len(later) + 1, np.int64)
+        both = np.isin(keys, known)
+        np.add.at(edge, first[both], 1)
+        np.add.at(edge, last[both] + 1, -1)
+        gone.update(np.flatnonzero(np.cumsum(edge[:-1]) > 0).tolist())
+    return sorted(gone)
 
 
 def _align_batches(min_words: int):

@@ -47,6 +47,11 @@ def _power(base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """The weights of ``n`` places in sums that hash runs of values, or their inverses."""
+    return _power(_INVERSE if inverse else _BASE, n)
+
+
 class Chunk:
     """Bytes of documents ``first .. first + n - 1`` of a batch; ``starts[i]`` and ``ends[i]`` bound text i."""
 
