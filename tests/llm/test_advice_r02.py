@@ -34,3 +34,17 @@ def test_line_dedup_repeated_and_crossed(spark):
     other = " ".join(f"v{k}" for k in range(25))
     texts = [f"{long}\nx\n{long}\ny", f"z\n{long}\nw", f"a\n{long}\n{other}\nb", f"c\n{other}\nd\n{long}\n{long}\ne"]
     assert lines_of(spark, texts)[1:] == ["z\nw", f"a\n{other}\nb", "c\nd\ne"]
+
+
+def test_line_dedup_blocks_of_short_lines(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(8)) for x in "abc")
+    texts = [f"{a}\n{b}", f"{b}\n{c}", f"p\n{a}\n{b}\n{c}\nq", f"r\n{a}\n{b}\n{c}\ns"]
+    assert lines_of(spark, texts) == [*texts[:3], "r\ns"]
+
+
+def test_line_dedup_equals_brute_force(spark):
+    draw = random.Random(8)
+    pool = ["", *(" ".join(f"{name}{k}" for k in range(size)) for name, size in
+                  zip("abcdefghij", [1, 2, 4, 6, 7, 8, 9, 12, 19, 24]))]
+    texts = ["\n".join(draw.choice(pool) for _ in range(draw.randint(1, 9))) for _ in range(60)]
+    assert lines_of(spark, texts) == without_blocks(texts)

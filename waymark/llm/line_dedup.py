@@ -1,15 +1,15 @@
 """Line dedup: documents that share rare lines are aligned in pairs, and common blocks leave the later document.
 
-A block is a run of lines that two documents have in common, of ``MIN_WORDS`` words or more. Whatever such a block
-looks like, it holds a line of that many words, or two neighbouring lines; hashes of the one and the other are the
-keys. A key in one document only is dropped; a key of several names their first as the partner of all others, so a
-line that a third of all documents share gives one pair each, not all pairs. A common short line alone is no key:
-it is rare only together with its neighbour.
+A block is a run of lines that two documents have in common, of ``MIN_WORDS`` words or more. Each line of a block lies
+in a run inside it that is the shortest of so many words from a line on, or up to a line; hashes of those runs are the
+keys, so that whoever holds a key holds a whole block. A key in one document only is dropped; a key of several names
+their first as the partner of all others, so a block that a third of all documents share gives one pair each, not all
+pairs, and every line that any earlier document has in a common block is met in some first holder.
 
 A pair is aligned by patience diff: lines unique in both anchor the longest increasing run, which grows to equal
 neighbours and splits the rest, to be aligned in turn. Aligned runs of MIN_WORDS words or more are deleted from the
 later document, and so are common runs of so many words outside the alignment: repeated passages and passages in
-another order. No common run of MIN_WORDS words of a pair is left.
+another order. No run of MIN_WORDS words that an earlier document holds as it came is left.
 
 Documents are ordered by key, then by a hash of the text. Defined results: null and empty texts stay as they are;
 rows with a null key come last in the order; rows equal in key and text are one document and all stay; lines without
@@ -31,7 +31,6 @@ from waymark.llm.text import chunks, mixed, owners, powers
 
 MIN_WORDS = 20
 SALTS = 64
-_PAIR = np.uint64(0x9FB21C651E98DF25)
 
 
 def minimal_runs(lines: np.ndarray, words: np.ndarray, bounds: np.ndarray, min_words: int
@@ -63,25 +62,25 @@ def _line_batches(min_words: int):
                 begin, end, bounds = chunk.lines()
                 hashes = chunk.hashes(begin, end)
                 words = np.searchsorted(first := chunk.words()[0], end) - np.searchsorted(first, begin)
-                pair = np.zeros(len(hashes), np.uint64)
-                pair[:-1] = (hashes[:-1] * _PAIR) ^ hashes[1:]
-                both = np.zeros(len(hashes), np.int64)
-                both[:-1] = words[:-1] + words[1:]
-                lines, sizes, keys = [], [], []
-                for k in range(chunk.n):
-                    a, b = bounds[k], bounds[k + 1]
-                    own = np.concatenate((hashes[a:b][words[a:b] >= min_words], pair[a:b - 1][both[a:b - 1] > 0]))
-                    lines.append(hashes[a:b].view(np.int64))
-                    sizes.append(words[a:b])
-                    keys.append(np.unique(own).view(np.int64))
+                start, _, own = minimal_runs(hashes, words, bounds, min_words)
+                doc = owners(bounds)[start]
+                order = np.lexsort((own, doc))
+                doc, own = doc[order], own[order]
+                new = np.append(True, (doc[1:] != doc[:-1]) | (own[1:] != own[:-1]))[:len(own)]
+                doc, own = doc[new], own[new].view(np.int64)
+                edges = np.searchsorted(doc, np.arange(chunk.n + 1))
                 part = batch.slice(chunk.first, chunk.n)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(lines, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32())),
-                     pa.array(keys, pa.list_(pa.int64()))], names=["who", "lines", "sizes", "keys"])
+                    [part.column(0), _lists(hashes.view(np.int64), bounds), _lists(words.astype(np.int32), bounds),
+                     _lists(own, edges)], names=["who", "lines", "sizes", "keys"])
 
     return run
 
 
+def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), pa.array(values))
+
+
 def aligned(later: list[int], earlier: list[int]) -> list[tuple[int, int]]:
     """Matched line numbers of two documents, in order, by patience diff."""
     out, todo = [], [(0, len(later), 0, len(earlier))]
