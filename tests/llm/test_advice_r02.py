@@ -1,8 +1,11 @@
 """What the second review found missing, against brute force."""
 
 import random
+from collections import Counter
 
-from waymark.llm import line_dedup
+from pyspark.sql import functions as F
+
+from waymark.llm import line_dedup, suffix_dedup
 
 SCHEMA = "doc_id long, text string"
 
@@ -48,3 +51,32 @@ def test_line_dedup_equals_brute_force(spark):
                   zip("abcdefghij", [1, 2, 4, 6, 7, 8, 9, 12, 19, 24]))]
     texts = ["\n".join(draw.choice(pool) for _ in range(draw.randint(1, 9))) for _ in range(60)]
     assert lines_of(spark, texts) == without_blocks(texts)
+
+
+def bytes_left(texts):
+    """Each text without the bytes of 100-byte strings that start earlier, in the order given."""
+    seen, out = set(), []
+    for text in texts:
+        data = text.encode()
+        gone = bytearray(len(data))
+        for s in range(len(data) - 99):
+            if data[s:s + 100] in seen:
+                gone[s:s + 100] = b"x" * 100
+            seen.add(data[s:s + 100])
+        out.append(bytes(c for c, g in zip(data, gone) if not g))
+    return out
+
+
+def test_suffix_dedup_tells_null_keys_apart(spark):
+    draw = random.Random(9)
+    shared = "".join(draw.choice("abcdefgh ") for _ in range(150))
+    rows = [(1, shared)] + [(None, f"{k:04d}" + "".join(draw.choice("ijklmnop ") for _ in range(110)) + (
+        shared if k % 2 else "")) for k in range(4000)]
+    rows += [(7, "q" + "".join(draw.choice("rstuvwxyz ") for _ in range(200)))] * 3
+    rows += [(None, rows[5][1])] * 2
+    docs = spark.createDataFrame(rows, SCHEMA)
+    order = [(r.doc_id, r.text) for r in docs.distinct().orderBy(
+        F.col("doc_id").asc_nulls_last(), F.xxhash64(F.col("text").cast("binary"), "doc_id")).collect()]
+    left = dict(zip(order, bytes_left([text for _, text in order]), strict=True))
+    got = suffix_dedup.deduplicated(docs.repartition(3)).collect()
+    assert Counter((r.doc_id, bytes(r.kept)) for r in got) == Counter((r[0], left[r]) for r in rows)

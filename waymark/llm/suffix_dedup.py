@@ -10,8 +10,8 @@ over shards, and a shard's suffix array and permuted common prefixes tell which
 Bytes of different anchors never need to meet, so there is no global array; a task holds shards of about
 ``SHARD_BYTES``, or the distinct contexts of one anchor if those are more.
 
-Documents are ordered by key; nulls come last; rows equal in key are ordered by a short hash of the text, and rows
-equal in both are one document, each of them returned. Null and empty texts have nothing to remove. An empty table
+Documents are ordered by key; nulls come last; rows equal in key are ordered by a hash of 64 bits of text and key, and
+rows equal in key and text are one document, each of them returned. Null and empty texts have nothing to remove. An empty table
 gives an empty result. Other columns are ignored.
 """
 
@@ -33,10 +33,9 @@ LENGTH = 100
 GRAM = 32
 SHARD_BYTES = 4_000_000
 _LAST = (1 << 63) - 1
-_SHIFT = 40  # pos: text hash of 16 bits above the byte offset
 
-ROW = "h long, ctx long, doc long, pos long, n int"
-MARK = "need boolean, h long, doc long, pos long, n int"
+ROW = "h long, ctx long, doc long, sig long, pos long, n int"
+MARK = "need boolean, h long, doc long, sig long, pos long, n int"
 
 
 def _smallest(values: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -83,45 +82,66 @@ def runs(chunk: Chunk, length: int, gram: int) -> tuple[np.ndarray, ...]:
     return doc, first, count, low[begin], context
 
 
-def _merged(doc: np.ndarray, pos: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans (document, start, bytes) with overlapping and touching ones joined."""
+def _merged(doc: np.ndarray, sig: np.ndarray, pos: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans (document, its hash, start, bytes) with overlapping and touching ones joined."""
     if not len(doc):
-        return doc, pos, size
-    order = np.lexsort((pos, doc))
-    doc, pos, size = doc[order], pos[order], size[order]
-    start, tag = pos & ((1 << _SHIFT) - 1), pos >> _SHIFT
-    end = start + size
-    apart = np.append(True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1]))
+        return doc, sig, pos, size
+    order = np.lexsort((pos, sig, doc))
+    doc, sig, pos, size = doc[order], sig[order], pos[order], size[order]
+    end = pos + size
+    apart = np.append(True, (doc[1:] != doc[:-1]) | (sig[1:] != sig[:-1]))
     base = (np.cumsum(apart) - 1) * (int(end.max()) + 1)  # each document's spans lie above those before
     reach = np.maximum.accumulate(end + base)
-    at = np.flatnonzero(apart | np.append(True, (start + base)[1:] > reach[:-1]))
-    return doc[at], pos[at], np.maximum.reduceat(end, at) - start[at]
+    at = np.flatnonzero(apart | np.append(True, (pos + base)[1:] > reach[:-1]))
+    return doc[at], sig[at], pos[at], np.maximum.reduceat(end, at) - pos[at]
+
+
+def _repeats(keys: list[np.ndarray], places: list[np.ndarray], last: tuple | None = None
+             ) -> tuple[np.ndarray, np.ndarray, tuple | None]:
+    """Of rows sorted by key and place: which are their key's first, which have the key from another place, and the
+    last key with its first place, to go on with. What is neither has its key's first place once more."""
+    n = len(keys[0])
+    if not n:
+        return np.zeros(0, bool), np.zeros(0, bool), last
+    new = np.append(True, np.any([k[1:] != k[:-1] for k in keys], axis=0))
+    on = last is not None and last[0] == tuple(k[0] for k in keys)
+    new[0] = not on
+    head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    firsts = [p[head] for p in places]
+    if on:
+        own = np.cumsum(new) == 0
+        firsts = [np.where(own, v, f) for v, f in zip(last[1], firsts, strict=True)]
+    again = ~new & np.any([p != f for p, f in zip(places, firsts, strict=True)], axis=0)
+    return new, again, (tuple(k[-1] for k in keys), tuple(f[-1] for f in firsts))
 
 
 def _run_batches(length: int, gram: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            docs, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
+            docs, sigs = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             for chunk in chunks(batch.column(2)):
                 own, first, count, h, ctx = runs(chunk, length, gram)
-                doc = docs[chunk.first + own]
-                pos = (tags[chunk.first + own] << _SHIFT) + first - chunk.starts[own]
-                order = np.lexsort((pos, doc, ctx, h))
-                doc, pos, count, h, ctx = doc[order], pos[order], count[order], h[order], ctx[order]
-                again = np.append(False, (h[1:] == h[:-1]) & (ctx[1:] == ctx[:-1]))[:len(h)]
-                sure = _merged(doc[again], pos[again], count[again] + length - 1)
-                fresh = ~again
+                doc, sig = docs[chunk.first + own], sigs[chunk.first + own]
+                pos = first - chunk.starts[own]
+                order = np.lexsort((pos, sig, doc, ctx, h))
+                doc, sig, pos, count, h, ctx = (x[order] for x in (doc, sig, pos, count, h, ctx))
+                fresh, again, _ = _repeats([h, ctx], [doc, sig, pos])
+                sure = _merged(doc[again], sig[again], pos[again], count[again] + length - 1)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate((h[fresh], mixed(sure[0].astype(np.uint64) + sure[1].astype(np.uint64)))
-                                             ).view(np.int64)),
+                    [pa.array(np.concatenate((h[fresh], _dealt(*sure))).view(np.int64)),
                      pa.array(np.concatenate((ctx[fresh].view(np.int64), np.zeros(len(sure[0]), np.int64)))),
-                     pa.array(np.concatenate((doc[fresh], sure[0]))), pa.array(np.concatenate((pos[fresh], sure[1]))),
-                     pa.array(np.concatenate((count[fresh], -sure[2])).astype(np.int32))],
-                    names=["h", "ctx", "doc", "pos", "n"])
+                     *[pa.array(np.concatenate((x[fresh], y))) for x, y in zip((doc, sig, pos), sure[:3], strict=True)],
+                     pa.array(np.concatenate((count[fresh], -sure[3])).astype(np.int32))],
+                    names=["h", "ctx", "doc", "sig", "pos", "n"])
 
     return run
 
 
+def _dealt(doc: np.ndarray, sig: np.ndarray, pos: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Numbers that deal settled spans over all tasks."""
+    return mixed(doc.astype(np.uint64) + sig.astype(np.uint64) + pos.astype(np.uint64))
+
+
 def _mark_batches(length: int):
     """Rows sorted by anchor, context and place: repeats to remove, and first contexts that others may repeat."""
 
@@ -129,17 +149,15 @@ def _mark_batches(length: int):
         held = None  # the last first context, with whether its anchor had another before it
         last = None
         for batch in batches:
-            h, ctx, doc, pos, n = (batch.column(c).to_numpy() for c in range(5))
+            h, ctx, doc, sig, pos, n = (batch.column(c).to_numpy() for c in range(6))
             sure = n < 0
-            spans = [(doc[sure], pos[sure], -n[sure].astype(np.int64))]
-            h, ctx, doc, pos, n = (x[~sure] for x in (h, ctx, doc, pos, n))
+            spans = [(doc[sure], sig[sure], pos[sure], -n[sure].astype(np.int64))]
+            h, ctx, doc, sig, pos, n = (x[~sure] for x in (h, ctx, doc, sig, pos, n))
             need = []
             if len(h):
-                same = np.append(False, (h[1:] == h[:-1]) & (ctx[1:] == ctx[:-1]))
-                same[0] = last == (h[0], ctx[0])
-                last = (h[-1], ctx[-1])
-                spans.append((doc[same], pos[same], n[same].astype(np.int64) + length - 1))
-                fresh = np.stack([x[~same].astype(np.int64) for x in (h, doc, pos, n)], axis=1)
+                first, again, last = _repeats([h, ctx], [doc, sig, pos], last)
+                spans.append((doc[again], sig[again], pos[again], n[again].astype(np.int64) + length - 1))
+                fresh = np.stack([x[first].astype(np.int64) for x in (h, doc, sig, pos, n)], axis=1)
                 if held is not None:
                     fresh = np.concatenate((held[0], fresh))
                 if len(fresh):
@@ -157,14 +175,14 @@ def _mark_batches(length: int):
 
 
 def _marks(need: list[np.ndarray], spans: list[tuple]) -> pa.RecordBatch:
-    rows = np.concatenate([np.zeros((0, 4), np.int64), *need])
-    cut = [np.concatenate([np.zeros(0, np.int64), *(s[k] for s in spans)]) for k in range(3)]
+    rows = np.concatenate([np.zeros((0, 5), np.int64), *need])
+    cut = [np.concatenate([np.zeros(0, np.int64), *(s[k] for s in spans)]) for k in range(4)]
     cut = _merged(*cut)
     flags = np.append(np.ones(len(rows), bool), np.zeros(len(cut[0]), bool))
     return pa.RecordBatch.from_arrays(
         [pa.array(flags), pa.array(np.append(rows[:, 0], np.zeros(len(cut[0]), np.int64))),
-         pa.array(np.append(rows[:, 1], cut[0])), pa.array(np.append(rows[:, 2], cut[1])),
-         pa.array(np.append(rows[:, 3], cut[2]).astype(np.int32))], names=["need", "h", "doc", "pos", "n"])
+         *[pa.array(np.append(rows[:, k + 1], cut[k])) for k in range(3)],
+         pa.array(np.append(rows[:, 4], cut[3]).astype(np.int32))], names=["need", "h", "doc", "sig", "pos", "n"])
 
 
 def _context_batches(length: int):
@@ -173,15 +191,14 @@ def _context_batches(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                text = batch.column(1)[k].as_buffer()
-                asked = batch.column(2)[k].values
+                text = batch.column(2)[k].as_buffer()
+                asked = batch.column(3)[k].values
                 h, pos, n = (asked.field(c).to_numpy() for c in range(3))
-                start = pos & ((1 << _SHIFT) - 1)
                 data = memoryview(text) if text is not None else memoryview(b"")
-                cut = [data[s:s + m + length - 1].tobytes() for s, m in zip(start.tolist(), n.tolist(), strict=True)]
+                cut = [data[s:s + m + length - 1].tobytes() for s, m in zip(pos.tolist(), n.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(np.full(len(h), batch.column(0)[k].as_py())), pa.array(pos), pa.array(n),
-                     pa.array(cut, pa.binary())], names=["h", "doc", "pos", "n", "bytes"])
+                    [pa.array(h), *[pa.array(np.full(len(h), batch.column(c)[k].as_py())) for c in (0, 1)], pa.array(pos),
+                     pa.array(n), pa.array(cut, pa.binary())], names=["h", "doc", "sig", "pos", "n", "bytes"])
 
     return run
 
@@ -190,7 +207,7 @@ def repeated_windows(contexts: list[bytes], length: int, rank: np.ndarray, count
                      ) -> tuple[np.ndarray, np.ndarray]:
     """(context, window) of every window that equals one of an earlier place.
 
-    ``count[k]`` windows begin in context k, whose first window is at place ``rank[k]`` = (document, position).
+    ``count[k]`` windows begin in context k, whose first window is at place ``rank[k]`` = (document, its hash, position).
     """
     sizes = np.array([len(c) for c in contexts])
     starts = np.concatenate(([0], np.cumsum(sizes + 1)))[:-1]
@@ -214,10 +231,10 @@ def repeated_windows(contexts: list[bytes], length: int, rank: np.ndarray, count
     use = starting[order]
     at, group = order[use], group[use]
     k, w = owner[at], window[at]
-    by = np.lexsort((rank[k, 1] + w, rank[k, 0], group))
+    by = np.lexsort((rank[k, 2] + w, rank[k, 1], rank[k, 0], group))
     later = np.append(False, group[by][1:] == group[by][:-1])[:len(by)]
     # a window met twice at one place is one window
-    place = np.stack((rank[k, 0], rank[k, 1] + w), axis=1)[by]
+    place = np.stack((rank[k, 0], rank[k, 1], rank[k, 2] + w), axis=1)[by]
     head = np.maximum.accumulate(np.where(later, 0, np.arange(len(by))))
     later &= (place != place[head]).any(axis=1)
     return k[by][later], w[by][later]
@@ -225,16 +242,16 @@ def repeated_windows(contexts: list[bytes], length: int, rank: np.ndarray, count
 
 def _shard_batches(length: int, shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[list] = [[], [], [], [], []]
+        rows: list[list] = [[], [], [], [], [], []]
         held, cut = 0, 0  # bytes held; rows of whole anchors
 
         def settle(upto: int) -> pa.RecordBatch:
             part = [c[:upto] for c in rows]
             for c in rows:
                 del c[:upto]
-            rank = np.array([part[1], part[2]], np.int64).T
-            k, w = repeated_windows(part[4], length, rank, np.array(part[3]))
-            return _marks([], [(rank[k, 0], rank[k, 1] + w, np.full(len(k), length))])
+            rank = np.array([part[1], part[2], part[3]], np.int64).T
+            k, w = repeated_windows(part[5], length, rank, np.array(part[4]))
+            return _marks([], [(rank[k, 0], rank[k, 1], rank[k, 2] + w, np.full(len(k), length))])
 
         for batch in batches:
             for part in (batch.slice(n, 2000) for n in range(0, batch.num_rows, 2000)):
@@ -245,9 +262,9 @@ def _shard_batches(length: int, shard_bytes: int):
                         if held >= shard_bytes:
                             yield settle(cut)
                             held = 0
-                    for c in range(5):
+                    for c in range(6):
                         rows[c].append(values[c][k])
-                    held += len(values[4][k])
+                    held += len(values[5][k])
         if rows[0]:
             yield settle(len(rows[0]))
 
@@ -264,9 +281,8 @@ def _cut_batches(key: str):
                 cut = batch.column(2)[k].values
                 parts, at, removed, n = [], 0, 0, 0
                 if cut is not None and len(cut):
-                    pos = cut.field(0).to_numpy() & ((1 << _SHIFT) - 1)
-                    _, begin, length = _merged(np.zeros(len(pos), np.int64), pos, cut.field(1).to_numpy().astype(
-                        np.int64))
+                    pos, one = cut.field(0).to_numpy(), np.zeros(len(cut), np.int64)
+                    _, _, begin, length = _merged(one, one, pos, cut.field(1).to_numpy().astype(np.int64))
                     for a, m in zip(begin.tolist(), length.tolist(), strict=True):
                         parts.append(data[at:a])
                         at, removed, n = a + m, removed + m, n + 1
@@ -290,21 +306,19 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     """``key``, n_bytes, n_removed, n_spans, kept (the bytes left) and kept_sha256 of every document."""
     k, t = F.col(f"`{key}`"), F.col(f"`{text}`").cast("binary")
     texts = docs.select(F.coalesce(k.cast("long"), F.lit(_LAST)).alias("doc"),
-                        F.coalesce(F.xxhash64(t).bitwiseAND(0xFFFF), F.lit(0)).cast("int").alias("tag"),
-                        t.alias("text"), k.alias("key"))
-    found = texts.select("doc", "tag", "text").mapInArrow(_run_batches(length, gram), ROW)
-    marks = found.repartition("h").sortWithinPartitions("h", "ctx", "doc", "pos").mapInArrow(
+                        F.xxhash64(t, k).alias("sig"), t.alias("text"), k.alias("key"))
+    found = texts.select("doc", "sig", "text").mapInArrow(_run_batches(length, gram), ROW)
+    marks = found.repartition("h").sortWithinPartitions("h", "ctx", "doc", "sig", "pos").mapInArrow(
         _mark_batches(length), MARK)
-    marks = written(marks, "marks").withColumn("tag", F.shiftright("pos", _SHIFT).cast("int"))
-    asked = marks.where("need").groupBy("doc", "tag").agg(F.collect_list(F.struct("h", "pos", "n")).alias("asked"))
-    contexts = texts.dropDuplicates(["doc", "tag"]).join(asked, ["doc", "tag"]).select("doc", "text", "asked") \
-        .mapInArrow(_context_batches(length), "h long, doc long, pos long, n int, bytes binary")
+    marks = written(marks, "marks")
+    asked = marks.where("need").groupBy("doc", "sig").agg(F.collect_list(F.struct("h", "pos", "n")).alias("asked"))
+    contexts = texts.dropDuplicates(["doc", "sig"]).join(asked, ["doc", "sig"]).select("doc", "sig", "text", "asked") \
+        .mapInArrow(_context_batches(length), "h long, doc long, sig long, pos long, n int, bytes binary")
     repeats = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(
         _shard_batches(length, shard_bytes), MARK)
-    spans = marks.where("NOT need").select("doc", "tag", "pos", "n").unionByName(
-        repeats.select("doc", F.shiftright("pos", _SHIFT).cast("int").alias("tag"), "pos", "n"))
-    cuts = spans.groupBy("doc", "tag").agg(F.collect_list(F.struct("pos", "n")).alias("cuts"))
+    spans = marks.where("NOT need").unionByName(repeats).select("doc", "sig", "pos", "n")
+    cuts = spans.groupBy("doc", "sig").agg(F.collect_list(F.struct("pos", "n")).alias("cuts"))
     kind = texts.schema["key"].dataType.simpleString()
-    return texts.join(cuts, ["doc", "tag"], "left").select("key", "text", "cuts").mapInArrow(
+    return texts.join(cuts, ["doc", "sig"], "left").select("key", "text", "cuts").mapInArrow(
         _cut_batches(key), f"`{key}` {kind}, n_bytes long, n_removed long, n_spans long, kept binary, "
                            "kept_sha256 string")
