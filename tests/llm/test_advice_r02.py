@@ -80,3 +80,27 @@ def test_suffix_dedup_tells_null_keys_apart(spark):
     left = dict(zip(order, bytes_left([text for _, text in order]), strict=True))
     got = suffix_dedup.deduplicated(docs.repartition(3)).collect()
     assert Counter((r.doc_id, bytes(r.kept)) for r in got) == Counter((r[0], left[r]) for r in rows)
+
+
+def test_suffix_dedup_splits_hot_anchors(spark):
+    draw = random.Random(10)
+    shared = "".join(draw.choice("abcdefgh ") for _ in range(180))
+
+    def prose(n):
+        return "".join(draw.choice("ijk ") for _ in range(n))
+
+    texts = [prose(draw.randint(0, 40)) + shared[draw.randint(0, 9):] + prose(draw.randint(0, 40)) for _ in range(300)]
+    for shard_bytes in (1, 3000, 10 ** 9):
+        docs = spark.createDataFrame(list(enumerate(texts)), SCHEMA).repartition(5)
+        got = suffix_dedup.deduplicated(docs, shard_bytes=shard_bytes).collect()
+        assert [bytes(r.kept) for r in sorted(got, key=lambda r: r.doc_id)] == bytes_left(texts)
+        assert shard_bytes != 1 or not most_held(docs, shard_bytes)
+
+
+def most_held(docs, shard_bytes):
+    """Contexts that a shard of hot anchors would hold: none, as all have more than ``shard_bytes``."""
+    texts = docs.select(F.col("doc_id").alias("doc"), F.lit(0).alias("sig"), F.col("text").cast("binary"),
+                        F.expr("array(struct(7L AS h, 0L AS pos, 1 AS n, true AS hot))").alias("asked"))
+    out = texts.where("length(text) >= 100").mapInArrow(
+        suffix_dedup._context_batches(100), "h long, window long, doc long, sig long, pos long, n int, bytes binary")
+    return out.where("bytes IS NOT NULL").count()

@@ -8,7 +8,8 @@ share is one row a task. Only anchors with different contexts are left: these co
 over shards, and a shard's suffix array and permuted common prefixes tell which windows repeat an earlier one.
 
 Bytes of different anchors never need to meet, so there is no global array; a task holds shards of about
-``SHARD_BYTES``, or the distinct contexts of one anchor if those are more.
+``SHARD_BYTES``. Contexts of an anchor that has more than that are taken apart into windows, which meet by anchor and
+window hash: a task settles those of its own texts before the shuffle, and the rest stream past in order.
 
 Documents are ordered by key; nulls come last; rows equal in key are ordered by a hash of 64 bits of text and key, and
 rows equal in key and text are one document, each of them returned. Null and empty texts have nothing to remove. An empty table
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +34,7 @@ from waymark.llm.text import Chunk, chunks, mixed
 LENGTH = 100
 GRAM = 32
 SHARD_BYTES = 4_000_000
+HOT_WINDOWS = 1 << 20  # windows of hot anchors that a task holds before it settles them
 _LAST = (1 << 63) - 1
 
 ROW = "h long, ctx long, doc long, sig long, pos long, n int"
@@ -186,23 +189,60 @@ def _marks(need: list[np.ndarray], spans: list[tuple]) -> pa.RecordBatch:
 
 
 def _context_batches(length: int):
-    """The bytes of the contexts that a document was asked for."""
+    """The bytes of the contexts that a document was asked for; of hot anchors, the hash of each window instead."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            hot, held = [], 0
             for k in range(batch.num_rows):
+                doc, sig = (batch.column(c)[k].as_py() for c in (0, 1))
                 text = batch.column(2)[k].as_buffer()
                 asked = batch.column(3)[k].values
-                h, pos, n = (asked.field(c).to_numpy() for c in range(3))
+                h, pos, n, is_hot = (asked.field(c).to_numpy(zero_copy_only=False) for c in range(4))
+                if is_hot.any():
+                    chunk = Chunk(0, np.frombuffer(text, np.uint8), np.array([0, len(text)]))
+                    count = n[is_hot].astype(np.int64)
+                    step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                    at = np.repeat(pos[is_hot], count) + step
+                    hot.append((np.repeat(h[is_hot], count), chunk.hashes(at, at + length).view(np.int64),
+                                np.full(len(at), doc), np.full(len(at), sig), at))
+                    held += len(at)
+                    if held >= HOT_WINDOWS:
+                        yield _settled_windows(hot, length)
+                        hot, held = [], 0
+                h, pos, n = h[~is_hot], pos[~is_hot], n[~is_hot]
+                if not len(h):
+                    continue
                 data = memoryview(text) if text is not None else memoryview(b"")
                 cut = [data[s:s + m + length - 1].tobytes() for s, m in zip(pos.tolist(), n.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), *[pa.array(np.full(len(h), batch.column(c)[k].as_py())) for c in (0, 1)], pa.array(pos),
-                     pa.array(n), pa.array(cut, pa.binary())], names=["h", "doc", "sig", "pos", "n", "bytes"])
+                yield _contexts(h, np.zeros(len(h), np.int64), np.full(len(h), doc), np.full(len(h), sig), pos, n,
+                                pa.array(cut, pa.binary()))
+            if hot:
+                yield _settled_windows(hot, length)
 
     return run
 
 
+def _contexts(h, window, doc, sig, pos, n, data: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [*[pa.array(x) for x in (h, window, doc, sig, pos)], pa.array(n.astype(np.int32)), data],
+        names=["h", "window", "doc", "sig", "pos", "n", "bytes"])
+
+
+def _settled_windows(parts: list[tuple], length: int) -> pa.RecordBatch:
+    """The first of each window of hot anchors, and the spans of those that repeat it (``n`` below 0)."""
+    h, window, doc, sig, pos = (np.concatenate(c) for c in zip(*parts, strict=True))
+    order = np.lexsort((pos, sig, doc, window, h))
+    h, window, doc, sig, pos = (x[order] for x in (h, window, doc, sig, pos))
+    first, again, _ = _repeats([h, window], [doc, sig, pos])
+    sure = _merged(doc[again], sig[again], pos[again], np.full(int(again.sum()), length))
+    return _contexts(np.append(h[first], _dealt(*sure).view(np.int64)),
+                     np.append(window[first], np.zeros(len(sure[0]), np.int64)),
+                     *[np.append(x[first], y) for x, y in zip((doc, sig, pos), sure[:3], strict=True)],
+                     np.append(np.ones(int(first.sum()), np.int64), -sure[3]),
+                     pa.nulls(int(first.sum()) + len(sure[0]), pa.binary()))
+
+
 def repeated_windows(contexts: list[bytes], length: int, rank: np.ndarray, count: np.ndarray
                      ) -> tuple[np.ndarray, np.ndarray]:
     """(context, window) of every window that equals one of an earlier place.
@@ -244,6 +284,7 @@ def _shard_batches(length: int, shard_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[list] = [[], [], [], [], [], []]
         held, cut = 0, 0  # bytes held; rows of whole anchors
+        last = None  # the last window of a hot anchor, with its first place
 
         def settle(upto: int) -> pa.RecordBatch:
             part = [c[:upto] for c in rows]
@@ -254,6 +295,16 @@ def _shard_batches(length: int, shard_bytes: int):
             return _marks([], [(rank[k, 0], rank[k, 1], rank[k, 2] + w, np.full(len(k), length))])
 
         for batch in batches:
+            hot = batch.filter(pc.is_null(batch.column(6)))
+            if hot.num_rows:
+                h, window, doc, sig, pos, n = (hot.column(c).to_numpy() for c in range(6))
+                sure = n < 0
+                spans = [(doc[sure], sig[sure], pos[sure], -n[sure].astype(np.int64))]
+                h, window, doc, sig, pos = (x[~sure] for x in (h, window, doc, sig, pos))
+                _, again, last = _repeats([h, window], [doc, sig, pos], last)
+                spans.append((doc[again], sig[again], pos[again], np.full(int(again.sum()), length)))
+                yield _marks([], spans)
+            batch = batch.filter(pc.is_valid(batch.column(6))).select(["h", "doc", "sig", "pos", "n", "bytes"])
             for part in (batch.slice(n, 2000) for n in range(0, batch.num_rows, 2000)):
                 values = [c.to_pylist() for c in part.columns]
                 for k in range(part.num_rows):
@@ -311,10 +362,14 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text", lengt
     marks = found.repartition("h").sortWithinPartitions("h", "ctx", "doc", "sig", "pos").mapInArrow(
         _mark_batches(length), MARK)
     marks = written(marks, "marks")
-    asked = marks.where("need").groupBy("doc", "sig").agg(F.collect_list(F.struct("h", "pos", "n")).alias("asked"))
+    need = marks.where("need").select("h", "doc", "sig", "pos", "n")
+    hot = written(need.groupBy("h").agg(F.sum(F.col("n").cast("long") + F.lit(length - 1)).alias("size")).where(
+        F.col("size") > shard_bytes).select("h", F.lit(True).alias("hot")), "hot")
+    asked = need.join(hot, "h", "left").groupBy("doc", "sig").agg(F.collect_list(F.struct(
+        "h", "pos", "n", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("asked"))
     contexts = texts.dropDuplicates(["doc", "sig"]).join(asked, ["doc", "sig"]).select("doc", "sig", "text", "asked") \
-        .mapInArrow(_context_batches(length), "h long, doc long, sig long, pos long, n int, bytes binary")
-    repeats = contexts.repartition("h").sortWithinPartitions("h").mapInArrow(
+        .mapInArrow(_context_batches(length), "h long, window long, doc long, sig long, pos long, n int, bytes binary")
+    repeats = contexts.repartition("h", "window").sortWithinPartitions("h", "window", "doc", "sig", "pos").mapInArrow(
         _shard_batches(length, shard_bytes), MARK)
     spans = marks.where("NOT need").unionByName(repeats).select("doc", "sig", "pos", "n")
     cuts = spans.groupBy("doc", "sig").agg(F.collect_list(F.struct("pos", "n")).alias("cuts"))
