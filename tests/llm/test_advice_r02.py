@@ -5,7 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from waymark.llm import line_dedup, suffix_dedup
+from waymark.llm import license_scan, line_dedup, suffix_dedup
 
 SCHEMA = "doc_id long, text string"
 
@@ -104,3 +104,25 @@ def most_held(docs, shard_bytes):
     out = texts.where("length(text) >= 100").mapInArrow(
         suffix_dedup._context_batches(100), "h long, window long, doc long, sig long, pos long, n int, bytes binary")
     return out.where("bytes IS NOT NULL").count()
+
+
+def test_license_scan_tells_siblings_apart(spark):
+    line = "This work is licensed under the GNU {}, version {}."
+    header = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} as "
+              "published by the Free Software Foundation, either version {} of the License, or (at your option) any "
+              "later version.")
+    gnu = [("GPL-2.0", "General Public License", "2"), ("GPL-3.0", "General Public License", "3"),
+           ("LGPL-2.1", "Lesser General Public License", "2.1"), ("LGPL-3.0", "Lesser General Public License", "3"),
+           ("AGPL-3.0", "Affero General Public License", "3")]
+    notices = [({name}, form.format(title, version)) for name, title, version in gnu for form in (line, header)]
+    notices += [
+        ({"MPL-1.1"}, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1."),
+        ({"MPL-2.0"}, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+        ({"CC-BY-SA-4.0"}, "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+        ({"CC-BY-NC-SA-4.0"}, "Licensed under CC BY-NC-SA 4.0."), ({"CC-BY-NC-4.0"}, "Licensed under CC BY-NC 4.0."),
+        ({"GPL-2.0", "GPL-3.0"}, header.format(gnu[0][1], 2) + " " + header.format(gnu[1][1], 3)),
+        ({"BSD-2-Clause"}, license_scan.TEMPLATES["BSD-2-Clause"][0]), (set(), header.format(gnu[0][1], 1))]
+    docs = spark.createDataFrame([(k, "some words before. " + n + " And after it.") for k, (_, n) in enumerate(notices)],
+                                 SCHEMA)
+    got = license_scan.matches(docs).collect()
+    assert [{r.license for r in got if r.doc_id == k} for k in range(len(notices))] == [want for want, _ in notices]
