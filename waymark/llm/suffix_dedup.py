@@ -12,7 +12,8 @@ Bytes of different anchors never need to meet, so there is no global array; a ta
 window hash: a task settles those of its own texts before the shuffle, and the rest stream past in order.
 
 Documents are ordered by key; nulls come last; rows equal in key are ordered by a hash of 64 bits of text and key, and
-rows equal in key and text are one document, each of them returned. Null and empty texts have nothing to remove. An empty table
+rows equal in key and text are one document, each of them returned. Null and empty texts have nothing to remove. An empty
+table
 gives an empty result. Other columns are ignored.
 """
 
