@@ -12,15 +12,17 @@ DATA = "/root/testdata/sf0.001"
 def test_all_are_registered():
     names = set(contract.queries())
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
 
 
-def test_warc_equals_its_sql(spark):
+@pytest.mark.parametrize("query", ["op2_warc", "op12_phrase_mining", "op13_ranked_search"])
+def test_equals_its_sql(spark, query):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{DATA}/pages.parquet'")
-    want = con.execute(contract.oracle_sql()["op2_warc"])
+    for name in ("pages", "documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{DATA}/{name}.parquet'")
+    want = con.execute(contract.oracle_sql()[query])
     names = [d[0] for d in want.description]
-    got = contract.queries()["op2_warc"](spark, DATA).select(*names).collect()
+    got = contract.queries()[query](spark, DATA).select(*names).collect()
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall()))
 
 

@@ -91,6 +91,22 @@ class Chunk:
         return mixed(raw + (end - begin).astype(np.uint64))
 
 
+def byte_set(*ranges: tuple[int, int]) -> np.ndarray:
+    """256 flags, true for the bytes in any of the ranges, both ends included."""
+    flags = np.zeros(256, bool)
+    for low, high in ranges:
+        flags[low:high + 1] = True
+    return flags
+
+
+def runs(chunk: Chunk, outside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``Chunk.words`` for maximal runs of bytes that are not ``outside``, to which the newline must belong."""
+    cut = outside[chunk.data]
+    before = np.concatenate(([True], cut[:-1]))
+    begin, end = np.flatnonzero(before & ~cut), np.flatnonzero(cut & ~before)
+    return begin, end, np.append(np.searchsorted(begin, chunk.starts), len(begin))
+
+
 def owners(bounds: np.ndarray) -> np.ndarray:
     """The document of each element, from where each document's elements begin."""
     return np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
