@@ -30,8 +30,8 @@ from waymark.llm.tables import written
 from waymark.llm.text import Chunk, byte_set, chunks, mixed, runs
 
 BURST = 1 << 16
-SPILL = 1 << 21
-SPILL_WORDS = 1 << 19
+SPILL = 1 << 20
+SPILL_WORDS = 1 << 18
 PART_BYTES = 8_000_000
 SALTS = 64
 #: Ends of pieces, ``[.,;:!?\x0A-\x0D]``, and of words, which space and tab end too.
