@@ -2,8 +2,8 @@
 
 Documents are sets of five-word shingles; equal sets are one class, so copies cost nothing beyond the first. A class is
 indexed under its rarest shingles, as many as one must share with any set of similarity 0.8. Which shingles are common
-is a fixed-size bitmap, filled where a task meets a shingle often; it only orders shingles, so results don't depend on
-it. Each index list is ordered by set size and holds the position of its shingle in each set:
+is a fixed-size bitmap, filled where a task meets a shingle in ``OFTEN`` different sets; it only orders shingles, so
+results don't depend on it. Each index list is ordered by set size and holds the position of its shingle in each set:
 
 * Skipping by position: a list's members are taken in blocks of equal size and position, which bound what two sets
   can still share; blocks that can't reach the threshold are never paired.
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.tables import small_batches, written
@@ -39,9 +39,9 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5
 BLOCK = 4096
 SALTS = 64
-BITS = 23
+BITS = 26
 HASHES_COUNTED = 4_000_000
-OFTEN = 8
+OFTEN = 2
 ROUNDS = 3
 SETS_PER_BATCH = 1000
 _LAST = (1 << 63) - 1
@@ -99,18 +99,21 @@ def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     def common():
         value, count = np.unique(np.concatenate(pile), return_counts=True)
         bit = np.unique(value[count >= OFTEN] >> np.uint64(64 - BITS)).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(bit), np.int64)), pa.array(np.full(len(bit), -1)),
-                                           pa.array(bit)], names=["doc", "n", "sig"])
+        zero = pa.array(np.zeros(len(bit), np.int64))
+        return pa.RecordBatch.from_arrays([zero, zero, pa.array(np.full(len(bit), -1)), pa.array(bit)],
+                                          names=["doc", "text_hash", "n", "sig"])
 
     for batch in batches:
         for chunk in chunks(batch.column(1)):
             run, bounds = sets_of(chunk)
-            part = batch.column(0).slice(chunk.first, chunk.n)
-            yield pa.RecordBatch.from_arrays([part, pa.array(np.diff(bounds)),
-                                              pa.array(signatures(run, bounds).view(np.int64))],
-                                             names=["doc", "n", "sig"])
-            pile.append(run)
-            piled += len(run)
+            doc, text_hash = (batch.column(c).slice(chunk.first, chunk.n) for c in (0, 2))
+            sig = signatures(run, bounds)
+            yield pa.RecordBatch.from_arrays([doc, text_hash, pa.array(np.diff(bounds)), pa.array(sig.view(np.int64))],
+                                             names=["doc", "text_hash", "n", "sig"])
+            first = np.zeros(chunk.n, bool)
+            first[_first_of_class(sig)] = True
+            pile.append(run[first[owners(bounds)]])
+            piled += len(pile[-1])
             if piled >= HASHES_COUNTED:
                 yield common()
                 pile, piled = [], 0
@@ -475,11 +478,18 @@ def labels_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
     return labels
 
 
+def _key(key: str) -> Column:
+    return F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(_LAST))
+
+
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc (the key; nulls last, as the largest number), n_shingles, sig and component_id of every document."""
-    texts = docs.select(F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(_LAST)).alias("doc"),
-                        F.col(f"`{text}`").cast("binary").alias("text"))
-    found = written(texts.mapInArrow(_class_batches, "doc long, n long, sig long"), "classes")
+    """doc (the key; nulls last, as the largest number), text_hash, n_shingles, label and component_id of every document.
+
+    The label, null without a set, tells components apart whose smallest keys are equal.
+    """
+    texts = docs.select(_key(key).alias("doc"), F.col(f"`{text}`").cast("binary").alias("text"),
+                        F.xxhash64(F.col(f"`{text}`").cast("binary")).alias("text_hash"))
+    found = written(texts.mapInArrow(_class_batches, "doc long, text_hash long, n long, sig long"), "classes")
     common = _bitmap(found.where("n = -1").select(F.col("sig").alias("bit")), "bit")
     classes = found.where("n >= 0")
     with small_batches(docs.sparkSession, SETS_PER_BATCH):
@@ -492,9 +502,10 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
         "named")
     smallest = named.where("many").groupBy("label").agg(F.min("first").alias("least"))
     placed = named.join(smallest, "label", "left").select(
-        "sig", F.explode("salts").alias("salt"), F.coalesce("least", "first").alias("component_id"))
+        "sig", F.explode("salts").alias("salt"), "label", F.coalesce("least", "first").alias("component_id"))
     return salted.join(placed, ["sig", "salt"], "left").select(
-        "doc", F.col("n").alias("n_shingles"), "sig", F.coalesce("component_id", "doc").alias("component_id"))
+        "doc", "text_hash", F.col("n").alias("n_shingles"), "label",
+        F.coalesce("component_id", "doc").alias("component_id"))
 
 
 def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -508,9 +519,19 @@ def joined(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that name their component; of rows equal in key, all or none; null keys stay."""
-    out = groups(docs, key, text)
-    gone = out.where((F.col("doc") != F.col("component_id")) & (F.col("doc") != _LAST)).select("doc").distinct()
-    held = docs.withColumn("__key", F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(_LAST)))
-    return held.join(gone.withColumnRenamed("doc", "__key"), "__key", "left_anti").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    """One row of ``docs`` for each component: that of the smallest key, nulls last, and of rows of that key the one of
+    the smallest text hash; of rows equal in key and text, one. Rows without words all stay.
+    """
+    out = written(groups(docs, key, text).select("doc", "text_hash", "label"), "grouped")
+    row = F.struct("doc", "text_hash")
+    # all rows of a label agree on key and text but for a few, so partial minima leave little to shuffle
+    chosen = out.where("label IS NOT NULL").groupBy("label").agg(F.min(row).alias("row")).select("row.*")
+    wordless = out.where("label IS NULL").select("doc", "text_hash").distinct()
+    repeats = out.groupBy("doc", "text_hash").agg((F.count("*") > 1).alias("again"))
+    plan = chosen.withColumn("whole", F.lit(False)).union(wordless.withColumn("whole", F.lit(True))).join(
+        repeats, ["doc", "text_hash"]).select("doc", "text_hash", (F.col("whole") | ~F.col("again")).alias("plain"))
+    names = docs.columns
+    held = docs.select(*[F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate(names)], _key(key).alias("doc"),
+                       F.xxhash64(F.col(f"`{text}`").cast("binary")).alias("text_hash")).join(plan, ["doc", "text_hash"])
+    once = held.where("NOT plain").dropDuplicates(["doc", "text_hash"])
+    return held.where("plain").unionByName(once).select(*[F.col(f"__c{k}").alias(c) for k, c in enumerate(names)])

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from waymark.llm.tables import written
 from waymark.llm.text import Chunk, chunks, owners, per_document, shingles
@@ -122,6 +123,14 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 names=[*keep, *COUNTS])
 
 
+@F.arrow_udf(T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))
+def _counts_udf(texts: pa.Array) -> pa.Array:
+    known = _function_hashes()
+    made = [counts_of(chunk, known) for chunk in chunks(texts)]
+    return pa.StructArray.from_arrays([pa.array(np.concatenate([m[c] for m in made]) if made else [], pa.int64())
+                                       for c in COUNTS], COUNTS)
+
+
 def features(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep`` and COUNTS, one row per document, from one pass over the whole texts."""
     source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").cast("binary").alias("__text"))
@@ -192,15 +201,15 @@ def fitted(votes: np.ndarray, counts: np.ndarray, rounds: int = 200) -> dict[str
     return {"prior": prior, "ratio": ratio, "accuracy": right / np.maximum(voting, 1e-12)}
 
 
-def judged(counted: DataFrame, threshold: float = 0.5) -> DataFrame:
+def judged(counted: DataFrame, threshold: float = 0.5, fit_on: DataFrame | None = None) -> DataFrame:
     """``counted`` with base_failed, posterior (of quality) and kept.
 
     Counts the vote patterns of all rows in one aggregation, fits the rules on them and scores every row with a sum
-    of log odds. ``counted`` is read twice, so pass a written table if it is costly.
+    of log odds. ``counted`` is read twice, so pass a written table if it is costly, or as ``fit_on`` the counts alone.
     """
     voted = with_votes(counted)
     names = [f"vote_{r}" for r in RULES]
-    rows = voted.groupBy(*names).count().collect()  # at most 3 ** len(RULES) rows
+    rows = (voted if fit_on is None else with_votes(fit_on)).groupBy(*names).count().collect()  # at most 3 ** len(RULES) rows
     votes = np.array([[r[c] for c in names] for r in rows], dtype=int).reshape(len(rows), len(names))
     model = fitted(votes, np.array([r["count"] for r in rows], dtype=float))
     odds = F.lit(float(np.log(model["prior"] / (1 - model["prior"]))))
@@ -220,10 +229,12 @@ def quality(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
 def kept(docs: DataFrame, text: str = "text", threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that the rules keep, unchanged.
 
-    Votes are counted in one pass and applied in another, so no text is shuffled or stored.
+    Votes are counted in one pass and applied in another, so no text is shuffled or stored. Python sees the text
+    alone and returns counts; the rows themselves stay where they are.
     """
     names = docs.columns
     plain = docs.select(*[F.col(f"`{c}`").alias(f"__c{k}") for k, c in enumerate(names)])
-    counted = features(plain, plain.columns, f"__c{names.index(text)}")
-    return judged(counted, threshold).where("kept").select(
+    own = f"__c{names.index(text)}"
+    counted = plain.withColumn("__counts", _counts_udf(F.col(own).cast("binary"))).select(*plain.columns, "__counts.*")
+    return judged(counted, threshold, features(plain, [], own)).where("kept").select(
         *[F.col(f"__c{k}").alias(c) for k, c in enumerate(names)])
