@@ -39,7 +39,8 @@ WORDS = 5
 NUMERATOR, DENOMINATOR = 4, 5
 BLOCK = 4096
 SALTS = 64
-BITS = 26
+COMMON_BITS = 26
+BITS = 23
 HASHES_COUNTED = 4_000_000
 OFTEN = 2
 ROUNDS = 3
@@ -98,7 +99,7 @@ def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
     def common():
         value, count = np.unique(np.concatenate(pile), return_counts=True)
-        bit = np.unique(value[count >= OFTEN] >> np.uint64(64 - BITS)).astype(np.int64)
+        bit = np.unique(value[count >= OFTEN] >> np.uint64(64 - COMMON_BITS)).astype(np.int64)
         zero = pa.array(np.zeros(len(bit), np.int64))
         return pa.RecordBatch.from_arrays([zero, zero, pa.array(np.full(len(bit), -1)), pa.array(bit)],
                                           names=["doc", "text_hash", "n", "sig"])
@@ -121,12 +122,12 @@ def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield common()
 
 
-def _bitmap(positions: DataFrame, column: str) -> np.ndarray:
-    """A bit for each position below 2 ** BITS, of fixed size whatever the input."""
+def _bitmap(positions: DataFrame, column: str, n_bits: int = BITS) -> np.ndarray:
+    """A bit for each position below 2 ** n_bits, of fixed size whatever the input."""
     place = F.col(column) + 1  # Spark counts bits from 1
     rows = positions.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()  # 2 ** BITS bits at most
-    out = np.zeros(1 << BITS, bool)
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")).collect()  # 2 ** n_bits bits at most
+    out = np.zeros(1 << n_bits, bool)
     for bucket, bits in rows:
         own = np.unpackbits(np.frombuffer(bytes(bits), np.uint8), bitorder="little")
         start = (bucket - 1) * 32768
@@ -135,7 +136,7 @@ def _bitmap(positions: DataFrame, column: str) -> np.ndarray:
 
 
 def _on(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
-    at = (values >> np.uint64(64 - BITS)).astype(np.int64)
+    at = (values >> np.uint64(64 - (8 * len(bitmap) - 1).bit_length())).astype(np.int64)
     return (bitmap[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
 
 
@@ -490,7 +491,7 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     texts = docs.select(_key(key).alias("doc"), F.col(f"`{text}`").cast("binary").alias("text"),
                         F.xxhash64(F.col(f"`{text}`").cast("binary")).alias("text_hash"))
     found = written(texts.mapInArrow(_class_batches, "doc long, text_hash long, n long, sig long"), "classes")
-    common = _bitmap(found.where("n = -1").select(F.col("sig").alias("bit")), "bit")
+    common = _bitmap(found.where("n = -1").select(F.col("sig").alias("bit")), "bit", COMMON_BITS)
     classes = found.where("n >= 0")
     with small_batches(docs.sparkSession, SETS_PER_BATCH):
         labels = labels_of(texts, common)
