@@ -59,18 +59,15 @@ def _same_group(before, after, group: list[str]) -> bool:
 
 
 def with_rings(table: pa.Table, group: list[str], max_gap: int) -> pa.Table:
-    """Add the ring columns. Closed ways keep the defaults, open groups are joined."""
+    """Add the ring columns: the open ways of each group, joined."""
     slot, first, last, count = [np.asarray(table.column(c))
                                 for c in ("slot", "first", "last", "n_points")]
     ring_slot, pos = slot.copy(), np.zeros(len(slot), dtype=np.int64)
     flipped = np.zeros(len(slot), dtype=bool)
     status = np.full(len(slot), "closed", dtype=object)
     ring_first, ring_last = first.copy(), last.copy()
-    closed = np.asarray(table.column("closed"))
     starts = _group_starts(table, group)
     for lo, hi in zip(starts, [*starts[1:], len(slot)]):
-        if closed[lo]:
-            continue
         for head, tail, size, is_ring, path in grow_chains(
                 first[lo:hi].tolist(), last[lo:hi].tolist(), count[lo:hi].tolist()):
             rows = [lo + way for way, _ in path]

@@ -7,15 +7,18 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.functions.geometry import close_ring, edge_is_right, multipolygon
+from waymark.functions.geometry import edge_is_right, multipolygon
 from waymark.functions.units import packed_x, packed_y, to_meters
 from waymark.operators.large_groups import checkpointed
 from waymark.operators.rings import (large_group_limit, relation_ways, ring_pieces, ring_ways,
                                      rings)
-from waymark.operators.ways import merged_bounds, way_edges, way_points, way_shapes
+from waymark.operators.ways import merged_bounds, way_chunks, way_edges, way_points
 from waymark.schema import MAX_GAP_UNITS, METERS_PER_UNIT
 from waymark.sources.tables import OsmTables
 
+_RING = ["relation_id", "outer", "ring_slot"]
+# After every way of a ring.
+_END = 1 << 62
 # Grid levels 0..8: a cell of level k is 16^k units wide.
 _LEVELS = 9
 _LEVEL_BITS = 4
@@ -172,40 +175,57 @@ def relation_bounds(areas: AreaRelations) -> DataFrame:
     return areas.rings.where("outer").groupBy("relation_id").agg(*merged_bounds())
 
 
+def ring_chunks(areas: AreaRelations) -> DataFrame:
+    """(relation_id, polygon_slot, outer, ring_slot, pos, step, points): every kept ring, in pieces.
+
+    A chunk holds the grid points of one span of one way in the direction of
+    the ring, without the point it shares with the way before. Ordered by
+    (pos, step), the chunks of a ring are its closed path. No row is larger
+    than a span, whatever the size of the way, ring or relation.
+    """
+    kept = areas.ring_ways.where("status != 'discarded'")
+    chunks = way_chunks(way_points(areas.tables, kept.select("way_id").distinct()))
+    slim = kept.select("relation_id", "outer", "ring_slot", "way_id", "pos", "reversed", "first_span", "last_span",
+                       "first", (F.col("raw_last") != F.col("last")).alias("mended"))
+    turned = F.col("reversed")
+    along = slim.join(chunks, "way_id").select(
+        *_RING, "pos", F.when(turned, -F.col("span")).otherwise(F.col("span")).alias("step"),
+        F.when(turned, F.reverse("points")).otherwise(F.col("points")).alias("points"),
+        ((F.col("pos") > 0) & F.when(turned, (F.col("span") == F.col("last_span")) & ~F.col("mended"))
+         .otherwise(F.col("span") == F.col("first_span"))).alias("shared"))
+    # An area way left open returns to its first point; backwards that point comes first, and is shared.
+    back = slim.where("mended AND NOT (reversed AND pos > 0)").select(
+        *_RING, "pos", F.when(turned, -F.col("last_span") - 1).otherwise(F.col("last_span") + 1).alias("step"),
+        _points("first"), F.lit(False).alias("shared"))
+    # A gap is closed by the first point; so is a ring that goes out and back over three points.
+    end = kept.where("status = 'gap_closed' AND slot = ring_slot").select(
+        *_RING, F.lit(_END).alias("pos"), F.lit(0).cast("long").alias("step"), _points("ring_first"),
+        F.lit(False).alias("shared"))
+    rows = along.unionByName(back).unionByName(end).withColumn(
+        "points", F.when(F.col("shared"), F.slice("points", 2, F.greatest(F.size("points"), F.lit(1))))
+        .otherwise(F.col("points"))).drop("shared").where(F.size("points") > 0)
+    return _with_polygon(rows, areas).drop("outer_slot").where(F.col("polygon_slot").isNotNull())
+
+
+def _points(point: str):
+    return F.expr(f"array(named_struct('x', {packed_x(point)}, 'y', {packed_y(point)}))").alias("points")
+
+
 def relation_geometry(areas: AreaRelations) -> DataFrame:
     """(relation_id, geom): the MultiPolygon, polygons and holes in slot order.
 
-    The array is the feature's own value; use ``relation_measures`` where
-    numbers are enough.
+    One shuffle by relation, in which the chunks fold into rings, rings into
+    polygons and polygons into the value. The array is the feature's own
+    value; use ``ring_chunks`` or ``relation_measures`` for relations too large
+    for one.
     """
-    kept = areas.ring_ways.where("status != 'discarded'")
-    ids = kept.select("way_id").distinct()
-    shapes = way_shapes(way_points(areas.tables, ids)).select("way_id", "points")
-    complete = F.when(F.col("raw_last") == F.col("last"), F.col("points")).otherwise(
-        F.concat("points", F.slice("points", 1, 1)))
-    placed = (kept.join(shapes, "way_id")
-              .withColumn("points", complete)
-              .withColumn("points", F.when(F.col("reversed"), F.reverse("points"))
-                          .otherwise(F.col("points"))))
-    steps = F.sort_array(F.collect_list(F.struct("pos", "points")))
-    path = F.flatten(F.transform(
-        steps, lambda s: F.when(s["pos"] == 0, s["points"]).otherwise(
-            F.slice(s["points"], 2, F.size(s["points"])))))
-    ring = (placed.groupBy("relation_id", "outer", "ring_slot")
-            .agg(path.alias("points"))
-            .withColumn("points", close_ring(F.col("points")))
-            .withColumn("points", _at_least_four("points")))
-    polygons = (_with_polygon(ring, areas).where(F.col("polygon_slot").isNotNull())
-                .groupBy("relation_id", "polygon_slot")
-                .agg(F.transform(
-                    F.sort_array(F.collect_list(F.struct(~F.col("outer"), "ring_slot", "points"))),
-                    lambda r: r["points"]).alias("polygon")))
+    by_relation = ring_chunks(areas).repartition("relation_id")
+    path = F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("pos", "step", "points"))),
+                                 lambda c: c["points"]))
+    ring = by_relation.groupBy("relation_id", "polygon_slot", "outer", "ring_slot").agg(path.alias("points"))
+    polygons = ring.groupBy("relation_id", "polygon_slot").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct(~F.col("outer"), "ring_slot", "points"))),
+        lambda r: r["points"]).alias("polygon"))
     return polygons.groupBy("relation_id").agg(multipolygon(F.transform(
         F.sort_array(F.collect_list(F.struct("polygon_slot", "polygon"))),
         lambda p: p["polygon"])).alias("geom"))
-
-
-def _at_least_four(points):
-    """A ring out and back over three points is closed by one more."""
-    return F.when(F.size(points) >= 4, F.col(points)).otherwise(
-        F.concat(points, F.slice(points, 1, 1)))

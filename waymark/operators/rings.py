@@ -64,7 +64,7 @@ def ring_pieces(member_ways: DataFrame, points: DataFrame) -> DataFrame:
         "relation_id", "outer", "slot", "way_id",
         (F.col("n_points") + F.when(gap, 1).otherwise(0)).alias("n_points"),
         "first", F.when(gap, F.col("first")).otherwise(F.col("last")).alias("last"),
-        F.col("last").alias("raw_last"), "area2", "xmin", "ymin", "xmax", "ymax")
+        F.col("last").alias("raw_last"), "first_span", "last_span", "area2", "xmin", "ymin", "xmax", "ymax")
 
 
 def ring_ways(pieces: DataFrame, max_gap: int = MAX_GAP_UNITS,
@@ -75,10 +75,11 @@ def ring_ways(pieces: DataFrame, max_gap: int = MAX_GAP_UNITS,
     ``closed``, ``gap_closed`` or ``discarded``. With ``large_group``, groups
     of more open ways are first split by distributed steps (and checkpoints).
     """
+    alone, open_ways = _closed(pieces), pieces.where(~_is_closed())
     if large_group is None:
-        return _join_ends(pieces, _GROUP, max_gap)
-    small, cycles, rest = split_large(pieces.where(~_is_closed()), large_group, max_gap)
-    joined = _join_ends(pieces.where(_is_closed()).unionByName(small), _GROUP, max_gap)
+        return alone.unionByName(_join_ends(open_ways, _GROUP, max_gap))
+    small, cycles, rest = split_large(open_ways, large_group, max_gap)
+    joined = alone.unionByName(_join_ends(small, _GROUP, max_gap))
     if cycles is None:
         return joined
     by_component = _join_ends(rest, [*_GROUP, "component"], max_gap).drop("component")
@@ -103,20 +104,18 @@ def large_group_limit(tables: OsmTables, limit: int = MAX_GROUP_WAYS) -> int | N
     return limit
 
 
-def _join_ends(pieces: DataFrame, group: list[str], max_gap: int) -> DataFrame:
-    """Join the open ways of each group; a closed way is a ring, and a group, of its own.
+def _closed(pieces: DataFrame) -> DataFrame:
+    """Closed ways: each is a ring of its own, in place, without a shuffle."""
+    return pieces.where(_is_closed()).select(
+        "*", F.col("slot").alias("ring_slot"), F.lit(0).cast("long").alias("pos"), F.lit(False).alias("reversed"),
+        F.lit("closed").alias("status"), F.col("first").alias("ring_first"), F.col("last").alias("ring_last"))
 
-    One shuffle; thousands of small groups share one Python call. Closed ways
-    are spread by their slot, so that they never crowd into one task.
-    """
-    schema = T.StructType([*pieces.schema.fields, *_RING_FIELDS])
-    alone = [_is_closed().alias("closed"),
-             F.when(_is_closed(), F.col("slot")).otherwise(0).alias("lone_slot")]
-    keys = [*group, "closed", "lone_slot"]
-    with_keys = pieces.select("*", *alone)
-    full = T.StructType([*with_keys.schema.fields, *_RING_FIELDS])
-    return (with_keys.repartition(*keys).sortWithinPartitions(*keys, "slot")
-            .mapInArrow(chains.ring_joiner(keys, max_gap), full).select(*schema.names))
+
+def _join_ends(open_ways: DataFrame, group: list[str], max_gap: int) -> DataFrame:
+    """Join the open ways of each group: one shuffle; thousands of small groups share one Python call."""
+    schema = T.StructType([*open_ways.schema.fields, *_RING_FIELDS])
+    return (open_ways.repartition(*group).sortWithinPartitions(*group, "slot")
+            .mapInArrow(chains.ring_joiner(group, max_gap), schema))
 
 
 def rings(ring_ways: DataFrame) -> DataFrame:
@@ -124,9 +123,10 @@ def rings(ring_ways: DataFrame) -> DataFrame:
     seen = f"(area2 + {cross(packed('ring_first'), packed('first'), packed('last'))})"
     return (ring_ways.where("status != 'discarded'")
             .groupBy("relation_id", "outer", "ring_slot")
-            .agg(F.max("status").alias("status"),
-                 F.expr("sum(n_points - 1) + 1 + if(max(status) = 'gap_closed', 1, 0)")
-                 .alias("n_points"),
+            .agg(F.max(F.when(F.col("status") == "gap_closed", 1).otherwise(0)).alias("gap"),
+                 (F.sum(F.col("n_points") - 1) + 1).alias("n_joined"),
                  F.expr(f"abs(sum(if(reversed, -{seen}, {seen})))").alias("area2"),
                  F.max("ring_first").alias("ring_first"), F.max("ring_last").alias("ring_last"),
-                 *merged_bounds()))
+                 *merged_bounds())
+            .withColumn("status", F.when(F.col("gap") == 1, "gap_closed").otherwise("closed"))
+            .withColumn("n_points", F.col("n_joined") + F.col("gap")).drop("gap", "n_joined"))

@@ -56,8 +56,15 @@ def way_shapes(points: DataFrame) -> DataFrame:
         .alias("points"))
 
 
+def way_chunks(points: DataFrame) -> DataFrame:
+    """(way_id, span, points): the ordered points of each span, so no value holds a whole long way."""
+    ordered = F.sort_array(F.collect_list(F.struct("seq", "x", "y")))
+    return points.groupBy("way_id", "span").agg(
+        F.transform(ordered, lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("points"))
+
+
 def way_summary(points: DataFrame) -> DataFrame:
-    """One fixed-size row per way: n_points, first/last point, bounds, area2.
+    """One fixed-size row per way: n_points, first/last point and span, bounds, area2.
 
     ``area2`` is twice the signed area swept by the way as seen from its first
     point. It can be shifted to any other origin and added up, so rings get
@@ -71,6 +78,7 @@ def way_summary(points: DataFrame) -> DataFrame:
             .agg(F.sum("n_points").alias("n_points"),
                  F.min_by("first", "span").alias("first"),
                  F.max_by("last", "span").alias("last"),
+                 F.min("span").alias("first_span"), F.max("span").alias("last_span"),
                  F.expr(f"sum({shifted} + {bridge})").alias("area2"),
                  *merged_bounds()))
 

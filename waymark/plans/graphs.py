@@ -69,6 +69,21 @@ def unnested_parents(spark, path):
         F.col("type").alias("parent_type"))
 
 
+def exploded_members(spark, path):
+    """The array column unnested by the query itself, entry by entry in order."""
+    rows = features(derived_tables(spark, path), ["fid", "tags", "members"], types=[RELATION])
+    return rows.select("fid", tag("name").alias("relation_name"), F.posexplode("members").alias("place", "m")).select(
+        "fid", "relation_name", (F.col("place") + 1).alias("place"), F.col("m.type").alias("member_type"),
+        F.col("m.id").alias("member_id"), F.col("m.role").alias("member_role"))
+
+
+def exploded_parents(spark, path):
+    rows = features(derived_tables(spark, path), ["fid", "type", "parents"])
+    return rows.select("fid", F.col("type").alias("feature_type"), F.posexplode("parents").alias("place", "p")).select(
+        "fid", "feature_type", (F.col("place") + 1).alias("place"), F.col("p.type").alias("parent_type"),
+        F.col("p.id").alias("parent_id"))
+
+
 def member_count(spark, path):
     tables = derived_tables(spark, path)
     names = features(tables, types=[RELATION]).select("fid", tag("name").alias("name"))
@@ -93,6 +108,8 @@ QUERIES = {
     "q_unnest_members": unnested_members,
     "q_multipolygon_members": multipolygon_members,
     "q_unnest_parents": unnested_parents,
+    "q_explode_members": exploded_members,
+    "q_explode_parents": exploded_parents,
     "q_member_count": member_count,
     "q_member_count_limit": first_member_counts,
     "q_parent_count": parent_count,
@@ -138,6 +155,13 @@ ORACLES = {
         SELECT child_id AS fid, child_type AS feature_type, name AS feature_name,
                CAST(parent_id AS VARCHAR) AS parent_id, ptype AS parent_type
         FROM parents JOIN features ON fid = child_id AND type = child_type""", "parents", "features"),
+    "q_explode_members": with_tables("""
+        SELECT id AS fid, name AS relation_name, CAST(rn AS INTEGER) AS place, mtype AS member_type,
+               CAST(member_id AS VARCHAR) AS member_id, role AS member_role
+        FROM members JOIN relations ON id = relation_id""", "members"),
+    "q_explode_parents": with_tables("""
+        SELECT child_id AS fid, child_type AS feature_type, CAST(rn AS INTEGER) AS place, ptype AS parent_type,
+               CAST(parent_id AS VARCHAR) AS parent_id FROM parents""", "parents"),
     "q_member_count": with_tables(_MEMBER_COUNT, "members"),
     "q_member_count_limit": with_tables(_MEMBER_COUNT + " ORDER BY fid LIMIT 10", "members"),
     "q_parent_count": with_tables(f"""

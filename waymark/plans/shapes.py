@@ -2,19 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from waymark.functions.geometry import area as geom_area
 from waymark.functions.geometry import envelope, overlaps, ring_contains
 from waymark.functions.tags import tag, tag_equals, tag_exists
 from waymark.functions.units import packed_x, packed_y, to_meters, to_units
 from waymark.operators.features import BOUNDS, features
-from waymark.operators.multipolygons import area_relations, hole_assignment, relation_measures
+from waymark.operators.multipolygons import (area_relations, hole_assignment, relation_geometry,
+                                             relation_measures, ring_chunks)
 from waymark.operators.rings import relation_ways
 from waymark.operators.ways import way_area, way_bounds, way_points, way_summary
 from waymark.plans.filters import BOX
 from waymark.plans.oracle import METERS, UNITS, overlap, with_tables
 from waymark.schema import NODE, RELATION, WAY
-from waymark.sources.derived import LINE_SPAN, derived_tables, ring_tables
+from waymark.sources.derived import (LINE_SPAN, SLOT_FACTOR, SLOT_PRIME, derived_tables, large_ring_tables,
+                                     ring_tables)
 
 # A fixed five-cornered test ring, in meters.
 TEST_RING = [(-9000000.0, -8000000.0), (11000000.0, -6000000.0), (3000000.0, 1000000.0),
@@ -140,6 +144,41 @@ def multipolygons(spark, path):
         F.round("area_m2", 3).alias("area_m2"), *BOUNDS)
 
 
+def relation_geoms(spark, path):
+    """The MultiPolygon value itself: its shape, its ends and its area."""
+    areas = area_relations(ring_tables(spark, path), materialize=True)
+    outer, rings = F.col("geom")["parts"][0][0], F.flatten("geom.parts")
+    ends = {"first": F.element_at(outer, 1), "last": F.element_at(outer, -1)}
+    return relation_geometry(areas).select(
+        "relation_id", "geom.kind", "geom.srid", F.size("geom.parts").alias("n_polygons"),
+        F.size(rings).alias("n_rings"),
+        F.aggregate(rings, F.lit(0), lambda n, r: n + F.size(r)).alias("n_points"),
+        *[F.round(p[c], 3).alias(f"{end}_{c}") for end, p in ends.items() for c in ("x", "y")],
+        F.round(geom_area("geom"), 3).alias("area_m2"))
+
+
+def ring_pieces_in_order(spark, path):
+    """Rings as rows of ordered chunks: the points of each, numbered along the ring."""
+    chunks = ring_chunks(area_relations(ring_tables(spark, path), materialize=True))
+    along = Window.partitionBy("relation_id", "polygon_slot", "outer", "ring_slot").orderBy("pos", "step", "place")
+    return chunks.select("*", F.posexplode("points").alias("place", "p")).select(
+        "relation_id", "polygon_slot", _role(), F.row_number().over(along).alias("place"),
+        F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+
+
+def large_ring(spark, path):
+    """One ring of as many ways as there are customers, stitched by the distributed steps."""
+    areas = area_relations(large_ring_tables(spark, path), large_group=64)
+    return areas.ring_ways.select("way_id", "ring_slot", "pos", "reversed", "status")
+
+
+def way_alias(spark, path):
+    """``way`` is another name of the geometry column."""
+    ring = F.col("way")["parts"][0][0]
+    return features(derived_tables(spark, path), ["fid", "type", "way"], types=[NODE, WAY]).where("way IS NOT NULL").select(
+        "fid", "type", "way.kind", F.size(ring).alias("n_points"))
+
+
 def multipolygon_bounds(spark, path):
     return (features(ring_tables(spark, path), ["fid", *BOUNDS], types=[RELATION])
             .where(overlaps(envelope(0, 0, 30000, 300))).select("fid"))
@@ -162,6 +201,10 @@ QUERIES = {
     "q_hole_assignment": holes,
     "q_multipolygon": multipolygons,
     "q_multipolygon_bbox": multipolygon_bounds,
+    "q_relation_geom": relation_geoms,
+    "q_ring_chunks": ring_pieces_in_order,
+    "q_ring_large": large_ring,
+    "q_way_alias": way_alias,
 }
 
 
@@ -201,6 +244,10 @@ _RINGS = """
                      c_custkey % 5 = 0 AS holed,
                      (c_custkey % 1000) * 5000 AS x0, (c_custkey // 1000 % 400000) * 5000 AS y0
               FROM customer)"""
+def _at(units):
+    return f"round({units} * {METERS}, 3)"
+
+
 _OUTLINE_STATUS = "CASE gap WHEN 0 THEN 'closed' WHEN 50 THEN 'gap_closed' ELSE 'discarded' END"
 
 ORACLES = {
@@ -265,4 +312,36 @@ ORACLES = {
         SELECT k AS fid FROM (SELECT k, x0 AS xmin, y0 AS ymin, x0 + 1000 AS xmax,
                                      y0 + 1000 AS ymax FROM rings WHERE gap < 100)
         WHERE {overlap(0, 0, 30000, 300)}""",
+    "q_relation_geom": f"""WITH {_RINGS}
+        SELECT k AS relation_id, 'MultiPolygon' AS kind, 3857 AS srid, 1 AS n_polygons,
+               1 + holed::INT AS n_rings, 5 + (gap > 0)::INT + 5 * holed::INT AS n_points,
+               {_at('x0')} AS first_x, {_at('y0')} AS first_y, {_at('x0')} AS last_x, {_at('y0')} AS last_y,
+               round((1000000 - 40000 * holed::INT) * {METERS} * {METERS}, 3) AS area_m2
+        FROM rings WHERE gap < 100""",
+    "q_ring_chunks": f"""WITH {_RINGS},
+        outline AS (SELECT * FROM (VALUES (1, 0, 0), (2, 1000, 0), (3, 1000, 1000), (4, 0, 1000), (5, 0, -1), (6, 0, 0))
+                                  AS t(place, dx, dy)),
+        hole AS (SELECT * FROM (VALUES (1, 400, 400), (2, 600, 400), (3, 600, 600), (4, 400, 600), (5, 400, 400))
+                               AS t(place, dx, dy))
+        SELECT k AS relation_id, CAST(0 AS BIGINT) AS polygon_slot, 'outer' AS role, place,
+               CAST(x0 + dx AS INTEGER) AS x, CAST(y0 + CASE WHEN dy < 0 THEN gap ELSE dy END AS INTEGER) AS y
+        FROM rings, outline WHERE gap < 100 AND (place < 6 OR gap > 0)
+        UNION ALL
+        SELECT k, 0, 'inner', place, CAST(x0 + dx AS INTEGER), CAST(y0 + dy AS INTEGER)
+        FROM rings, hole WHERE gap < 100 AND holed""",
+    "q_ring_large": f"""
+        WITH w AS (SELECT c_custkey AS k, c_custkey * {SLOT_FACTOR} % {SLOT_PRIME} AS slot, c_custkey % 2 = 1 AS odd,
+                          row_number() OVER (ORDER BY c_custkey) AS place, count(*) OVER () AS n FROM customer),
+             lead AS (SELECT slot, odd, place FROM w ORDER BY slot LIMIT 1)
+        SELECT k AS way_id, lead.slot AS ring_slot,
+               (CASE WHEN lead.odd THEN lead.place - w.place ELSE w.place - lead.place END + n) % n AS pos,
+               w.odd <> lead.odd AS reversed, 'closed' AS status FROM w, lead""",
+    "q_way_alias": with_tables("""
+        SELECT id AS fid, 0 AS type, 'Point' AS kind, 1 AS n_points FROM nodes
+        UNION ALL
+        SELECT id, 1, CASE WHEN is_area THEN 'Polygon' ELSE 'LineString' END,
+               CAST(n + (is_area AND (fx <> lx OR fy <> ly))::INT AS INTEGER)
+        FROM ways JOIN (SELECT way_id, count(*) AS n, arg_min(x, seq) AS fx, arg_min(y, seq) AS fy,
+                               arg_max(x, seq) AS lx, arg_max(y, seq) AS ly
+                        FROM way_points GROUP BY way_id) ON way_id = id""", "nodes", "ways", "way_points"),
 }

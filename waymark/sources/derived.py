@@ -196,6 +196,49 @@ def ring_tables(spark: SparkSession, path: str) -> OsmTables:
     })
 
 
+# A prime that scatters the slots of the large ring's ways.
+SLOT_FACTOR, SLOT_PRIME = 48271, 2147483647
+
+
+def large_ring_tables(spark: SparkSession, path: str) -> OsmTables:
+    """One area relation whose only ring is made of a way from each customer to the next.
+
+    Customers are the corners of a fan: along a parabola in the order of their
+    keys. Ways of odd keys run backwards, and slots are scattered, so ways that
+    touch are far apart in the relation.
+    """
+    read = _reader(spark, path)
+    k = F.col("c_custkey")
+
+    def steps() -> DataFrame:
+        """k and the next key; the last one's next is the first. One row per key, one pass for the ends."""
+        keys = read("customer").select(k.alias("k"))
+        ends = keys.agg(F.min("k").alias("low"), F.max("k").alias("high"))
+        after = keys.select((F.col("k") - 1).alias("k"), F.col("k").alias("next"))
+        return (keys.join(after, "k", "left").join(F.broadcast(ends))  # one row
+                .select("k", F.coalesce("next", "low").alias("next"))
+                .withColumn("odd", F.col("k") % 2 == 1))
+
+    def points() -> DataFrame:
+        both = F.array(*[F.struct(F.lit(n).cast("long").alias("seq"), c.alias("at")) for n, c in enumerate(
+            (F.when(F.col("odd"), F.col("next")).otherwise(F.col("k")),
+             F.when(F.col("odd"), F.col("k")).otherwise(F.col("next"))))])
+        return steps().select(F.col("k").alias("way_id"), F.explode(both).alias("p")).select("way_id", "p.seq", "p.at")
+
+    return OsmTables(spark, {
+        "nodes": lambda: read("customer").select(
+            k.alias("id"), (k * 16).cast("int").alias("x"), F.expr("CAST(c_custkey * c_custkey % 2000000000 AS INT)").alias("y"),
+            empty_tags().alias("tags")),
+        "ways": lambda: read("customer").select(k.alias("id"), F.lit(False).alias("is_area"), empty_tags().alias("tags")),
+        "way_nodes": lambda: points().select("way_id", "seq", F.col("at").alias("node_id")),
+        "relations": lambda: spark.range(1).select(
+            F.lit(1).cast("long").alias("id"), F.lit(True).alias("is_area"), empty_tags().alias("tags")),
+        "relation_members": lambda: read("customer").select(
+            F.lit(1).cast("long").alias("relation_id"), (k * SLOT_FACTOR % SLOT_PRIME).alias("seq"),
+            F.lit(WAY).alias("member_type"), k.alias("member_id"), F.lit("outer").alias("role")),
+    })
+
+
 def _ring_pattern(spark: SparkSession, points: bool) -> DataFrame:
     """The ways, or way points, of each kind of outline: a table of fixed size."""
     rows = []
