@@ -41,10 +41,11 @@ BLOCK = 4096
 SALTS = 64
 COMMON_BITS = 26
 BITS = 23
-HASHES_COUNTED = 4_000_000
+HASHES_COUNTED = 2_000_000
 OFTEN = 2
 ROUNDS = 3
 SETS_PER_BATCH = 1000
+TEXTS_PER_BATCH = 2000
 _LAST = (1 << 63) - 1
 
 
@@ -490,7 +491,8 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """
     texts = docs.select(_key(key).alias("doc"), F.col(f"`{text}`").cast("binary").alias("text"),
                         F.xxhash64(F.col(f"`{text}`").cast("binary")).alias("text_hash"))
-    found = written(texts.mapInArrow(_class_batches, "doc long, text_hash long, n long, sig long"), "classes")
+    with small_batches(docs.sparkSession, TEXTS_PER_BATCH):
+        found = written(texts.mapInArrow(_class_batches, "doc long, text_hash long, n long, sig long"), "classes")
     common = _bitmap(found.where("n = -1").select(F.col("sig").alias("bit")), "bit", COMMON_BITS)
     classes = found.where("n >= 0")
     with small_batches(docs.sparkSession, SETS_PER_BATCH):
