@@ -50,10 +50,21 @@ def packed(point: str) -> tuple[str, str]:
     return packed_x(point), packed_y(point)
 
 
-def cross(origin: tuple[str, str], a: tuple[str, str], b: tuple[str, str]) -> str:
-    """Cross product (a - origin) x (b - origin), in doubles."""
-    (ox, oy), (ax, ay), (bx, by) = [[f"CAST({v} AS DOUBLE)" for v in p] for p in (origin, a, b)]
-    return f"(({ax} - {ox}) * ({by} - {oy}) - ({bx} - {ox}) * ({ay} - {oy}))"
+def cross_halves(a: tuple[str, str], b: tuple[str, str]) -> tuple[str, str]:
+    """The cross product a x b of grid points as (high, low): exactly high * 65536 + low.
+
+    Each half of a product of 32-bit numbers fits a BIGINT, and so a sum over
+    halves stays in narrow decimals.
+    """
+    (ax, ay), (bx, by) = [[f"CAST({v} AS BIGINT)" for v in p] for p in (a, b)]
+    return (f"CAST({ax} * shiftright({by}, 16) - {bx} * shiftright({ay}, 16) AS DECIMAL(18, 0))",
+            f"CAST({ax} * ({by} & 65535) - {bx} * ({ay} & 65535) AS DECIMAL(18, 0))")
+
+
+def cross(a: tuple[str, str], b: tuple[str, str]) -> str:
+    """The cross product a x b of grid points, exactly."""
+    high, low = cross_halves(a, b)
+    return f"({high} * 65536 + {low})"
 
 
 def _col(value) -> Column:

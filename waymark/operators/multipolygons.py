@@ -12,8 +12,9 @@ from waymark.functions.units import packed_x, packed_y, to_meters
 from waymark.operators.large_groups import checkpointed
 from waymark.operators.rings import (large_group_limit, relation_ways, ring_pieces, ring_ways,
                                      rings)
-from waymark.operators.ways import merged_bounds, way_chunks, way_edges, way_points
-from waymark.schema import MAX_GAP_UNITS, METERS_PER_UNIT
+from waymark.operators.ways import (merged_bounds, square_meters, way_chunks, way_edges,
+                                    way_points)
+from waymark.schema import MAX_GAP_UNITS
 from waymark.sources.tables import OsmTables
 
 _RING = ["relation_id", "outer", "ring_slot"]
@@ -140,15 +141,14 @@ def _cell(value: str) -> str:
 
 
 def relation_measures(areas: AreaRelations) -> DataFrame:
-    """(relation_id, n_polygons, n_holes, orphan_holes, n_points, area_units, area_m2, bounds).
+    """(relation_id, n_polygons, n_holes, orphan_holes, n_points, area2, area_units, area_m2, bounds).
 
     A relation without a kept outer ring has no geometry and no row.
     """
     rows = _with_polygon(areas.rings, areas)
     is_hole = ~F.col("outer") & F.col("polygon_slot").isNotNull()
     kept = F.col("polygon_slot").isNotNull()
-    area = F.sum(F.when(F.col("outer"), F.col("area2")).when(is_hole, -F.col("area2"))
-                 .otherwise(0.0)) / 2
+    area2 = F.sum(F.when(F.col("outer"), F.col("area2")).when(is_hole, -F.col("area2")).otherwise(0))
     # Bounds are those of the outer rings; min and max skip the NULLs of holes.
     outer_bounds = [f(F.when(F.col("outer"), F.col(c))).alias(c) for f, c in (
         (F.min, "xmin"), (F.min, "ymin"), (F.max, "xmax"), (F.max, "ymax"))]
@@ -157,9 +157,9 @@ def relation_measures(areas: AreaRelations) -> DataFrame:
         F.count_if(is_hole).alias("n_holes"),
         F.count_if(~kept).alias("orphan_holes"),
         F.sum(F.when(kept, F.col("n_points"))).alias("n_points"),
-        area.alias("area_units"),
-        (area * METERS_PER_UNIT * METERS_PER_UNIT).alias("area_m2"),
-        *outer_bounds).where(F.col("n_polygons") > 0)
+        area2.cast("decimal(38,0)").alias("area2"),
+        *outer_bounds).where(F.col("n_polygons") > 0).withColumns({
+            "area_units": F.col("area2").cast("double") / 2, "area_m2": square_meters("area2")})
 
 
 def _with_polygon(ring_rows: DataFrame, areas: AreaRelations) -> DataFrame:

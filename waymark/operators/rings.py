@@ -60,11 +60,14 @@ def ring_pieces(member_ways: DataFrame, points: DataFrame) -> DataFrame:
     ``raw_last`` keeps the last stored point.
     """
     gap = F.col("is_area") & (F.col("first") != F.col("last"))
+    mended = f"area2 + {cross(packed('last'), packed('first'))}"
     return member_ways.join(way_summary(points), "way_id").select(
         "relation_id", "outer", "slot", "way_id",
         (F.col("n_points") + F.when(gap, 1).otherwise(0)).alias("n_points"),
         "first", F.when(gap, F.col("first")).otherwise(F.col("last")).alias("last"),
-        F.col("last").alias("raw_last"), "first_span", "last_span", "area2", "xmin", "ymin", "xmax", "ymax")
+        F.col("last").alias("raw_last"), "first_span", "last_span",
+        F.when(gap, F.expr(mended)).otherwise(F.col("area2")).cast("decimal(38,0)").alias("area2"),
+        "xmin", "ymin", "xmax", "ymax")
 
 
 def ring_ways(pieces: DataFrame, max_gap: int = MAX_GAP_UNITS,
@@ -119,13 +122,13 @@ def _join_ends(open_ways: DataFrame, group: list[str], max_gap: int) -> DataFram
 
 
 def rings(ring_ways: DataFrame) -> DataFrame:
-    """One row per kept ring: status, n_points, bounds, area2, ring_first, ring_last."""
-    seen = f"(area2 + {cross(packed('ring_first'), packed('first'), packed('last'))})"
+    """One row per kept ring: status, n_points, bounds, area2 (twice its area, exactly), ring_first, ring_last."""
+    closing = cross(packed("max(ring_last)"), packed("max(ring_first)"))
     return (ring_ways.where("status != 'discarded'")
             .groupBy("relation_id", "outer", "ring_slot")
             .agg(F.max(F.when(F.col("status") == "gap_closed", 1).otherwise(0)).alias("gap"),
                  (F.sum(F.col("n_points") - 1) + 1).alias("n_joined"),
-                 F.expr(f"abs(sum(if(reversed, -{seen}, {seen})))").alias("area2"),
+                 F.expr(f"CAST(abs(sum(if(reversed, -area2, area2)) + {closing}) AS DECIMAL(38, 0))").alias("area2"),
                  F.max("ring_first").alias("ring_first"), F.max("ring_last").alias("ring_last"),
                  *merged_bounds())
             .withColumn("status", F.when(F.col("gap") == 1, "gap_closed").otherwise("closed"))

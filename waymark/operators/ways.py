@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from waymark.functions.units import cross, pack, packed, packed_x, packed_y
+from waymark.functions.units import cross, cross_halves, pack, packed, packed_x, packed_y
 from waymark.schema import METERS_PER_UNIT
 from waymark.sources.tables import OsmTables
 
@@ -66,27 +66,33 @@ def way_chunks(points: DataFrame) -> DataFrame:
 def way_summary(points: DataFrame) -> DataFrame:
     """One fixed-size row per way: n_points, first/last point and span, bounds, area2.
 
-    ``area2`` is twice the signed area swept by the way as seen from its first
-    point. It can be shifted to any other origin and added up, so rings get
-    their area without their points being gathered.
+    ``area2`` is the exact sum of x1 y2 - x2 y1 over the way's edges, without a
+    closing edge. Sums of edges merge in any order to the same value, so rings
+    get twice their signed area without their points being gathered.
     """
-    origin = packed("way_first")
-    shifted = f"area2 + {cross(origin, packed('first'), packed('last'))}"
-    bridge = f"coalesce({cross(origin, packed('last'), packed('next_first'))}, 0D)"
+    bridge = f"coalesce({cross(packed('last'), packed('next_first'))}, 0)"
     return (_linked(_span_summary(points))
             .groupBy("way_id")
             .agg(F.sum("n_points").alias("n_points"),
                  F.min_by("first", "span").alias("first"),
                  F.max_by("last", "span").alias("last"),
                  F.min("span").alias("first_span"), F.max("span").alias("last_span"),
-                 F.expr(f"sum({shifted} + {bridge})").alias("area2"),
+                 F.expr(f"CAST(sum(area2 + {bridge}) AS DECIMAL(38, 0))").alias("area2"),
                  *merged_bounds()))
 
 
 def way_area(points: DataFrame) -> DataFrame:
-    """(way_id, area_m2) enclosed by each way, closed by a straight edge if it is open."""
-    return way_summary(points).select("way_id", (
-        F.abs("area2") / 2 * METERS_PER_UNIT * METERS_PER_UNIT).alias("area_m2"))
+    """(way_id, area2, area_m2) enclosed by each way, closed by a straight edge if it is open.
+
+    ``area2`` is twice the area in grid units, exactly.
+    """
+    closed = f"CAST(abs(area2 + {cross(packed('last'), packed('first'))}) AS DECIMAL(38, 0)) AS area2"
+    return way_summary(points).selectExpr("way_id", closed).withColumn("area_m2", square_meters("area2"))
+
+
+def square_meters(area2: str):
+    """Square meters of a doubled area in grid units, rounded once."""
+    return F.col(area2).cast("double") / 2 * METERS_PER_UNIT * METERS_PER_UNIT
 
 
 def way_edges(points: DataFrame) -> DataFrame:
@@ -101,26 +107,22 @@ def way_edges(points: DataFrame) -> DataFrame:
 
 def _with_neighbours(points: DataFrame) -> DataFrame:
     in_span = Window.partitionBy("way_id", "span").orderBy("seq")
-    so_far = in_span.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return points.select(
-        "way_id", "span", "seq", "x", "y",
-        F.lead("x").over(in_span).alias("nx"), F.lead("y").over(in_span).alias("ny"),
-        F.first("x").over(so_far).alias("ox"), F.first("y").over(so_far).alias("oy"))
+    return points.select("way_id", "span", "seq", "x", "y",
+                         F.lead("x").over(in_span).alias("nx"), F.lead("y").over(in_span).alias("ny"))
 
 
 def _span_summary(points: DataFrame) -> DataFrame:
-    point, swept = pack("x", "y"), cross(("ox", "oy"), ("x", "y"), ("nx", "ny"))
+    point = pack("x", "y")
+    high, low = cross_halves(("x", "y"), ("nx", "ny"))
     return _with_neighbours(points).groupBy("way_id", "span").agg(
         F.count("*").alias("n_points"),
         F.expr(f"min_by({point}, seq)").alias("first"),
         F.expr(f"max_by({point}, seq)").alias("last"),
-        F.expr(f"sum(coalesce({swept}, 0D))").alias("area2"),
+        F.expr(f"coalesce(sum({high}) * 65536 + sum({low}), 0)").alias("area2"),
         *bounds_of())
 
 
 def _linked(spans: DataFrame) -> DataFrame:
-    """Each span with its way's first point and the first point of the next span."""
+    """Each span with the first point of its way's next span."""
     along = Window.partitionBy("way_id").orderBy("span")
-    so_far = along.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return spans.select("*", F.first("first").over(so_far).alias("way_first"),
-                        F.lead("first").over(along).alias("next_first"))
+    return spans.select("*", F.lead("first").over(along).alias("next_first"))

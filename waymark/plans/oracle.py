@@ -68,15 +68,14 @@ _TABLES = {
         UNION ALL
         SELECT way_id, 1, min(x), min(y), max(x), max(y) FROM way_points GROUP BY way_id""",
     "areas": f"""
-        SELECT way_id AS fid,
-               abs(sum(coalesce(x::HUGEINT * ny - nx::HUGEINT * y, 0)))::DOUBLE / 2
-                   * {METERS} * {METERS} AS area_m2
+        SELECT way_id AS fid, area2, area2::DOUBLE / 2 * {METERS} * {METERS} AS area_m2 FROM (
+        SELECT way_id, abs(sum(coalesce(x::HUGEINT * ny - nx::HUGEINT * y, 0))) AS area2
         FROM (SELECT way_id, x, y,
                      coalesce(lead(x) OVER w, first_value(x) OVER w) AS nx,
                      coalesce(lead(y) OVER w, first_value(y) OVER w) AS ny
               FROM way_points WINDOW w AS (PARTITION BY way_id ORDER BY seq))
         WHERE way_id IN (SELECT id FROM ways WHERE is_area)
-        GROUP BY way_id""",
+        GROUP BY way_id)""",
     "members": """
         SELECT relation_id, seq, member_type, member_id, role,
                CASE member_type WHEN 0 THEN 'node' WHEN 1 THEN 'way' ELSE 'relation' END AS mtype,

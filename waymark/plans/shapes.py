@@ -80,7 +80,8 @@ def _areas(spark, path, predicate):
 
 def area(spark, path):
     _, _, areas = _areas(spark, path, F.lit(True))
-    return areas.select("fid", F.round(F.col("area_m2") / 1e6, 0).alias("area_km2"))
+    return areas.select("fid", F.col("area2").cast("string").alias("area2"),
+                        F.round(F.col("area_m2") / 1e6, 3).alias("area_km2"))
 
 
 def top_parks(spark, path):
@@ -88,7 +89,7 @@ def top_parks(spark, path):
     return (chosen.join(areas, "fid")
             .orderBy(F.col("area_m2").desc(), "fid").limit(10)
             .select("fid", tag("name").alias("name"),
-                    F.round(F.col("area_m2") / 1e6, 0).alias("area_km2")))
+                    F.round(F.col("area_m2") / 1e6, 3).alias("area_km2")))
 
 
 def buildings_in_box_area(spark, path):
@@ -98,7 +99,7 @@ def buildings_in_box_area(spark, path):
     inside = way_bounds(points).where(overlaps(envelope(*BOX)))
     areas = way_area(points)
     # A linear building has area 0.
-    size = F.when(F.col("is_area"), F.round(F.col("area_m2") / 1e6, 0)).otherwise(0.0)
+    size = F.when(F.col("is_area"), F.round(F.col("area_m2") / 1e6, 3)).otherwise(0.0)
     return (chosen.join(inside.withColumnRenamed("way_id", "fid"), "fid")
             .join(areas.withColumnRenamed("way_id", "fid"), "fid")
             .select("fid", tag("name").alias("name"), size.alias("area_km2")))
@@ -266,14 +267,15 @@ ORACLES = {
                arg_max(x, seq) AS last_x, arg_max(y, seq) AS last_y,
                min(x) AS xmin, min(y) AS ymin, max(x) AS xmax, max(y) AS ymax
         FROM way_points GROUP BY way_id""", "way_points"),
-    "q_area": with_tables("SELECT fid, round(area_m2 / 1e6, 0) AS area_km2 FROM areas", "areas"),
+    "q_area": with_tables("""
+        SELECT fid, CAST(area2 AS VARCHAR) AS area2, round(area_m2 / 1e6, 3) AS area_km2 FROM areas""", "areas"),
     "q_top_parks": with_tables("""
-        SELECT fid, name, round(area_m2 / 1e6, 0) AS area_km2
+        SELECT fid, name, round(area_m2 / 1e6, 3) AS area_km2
         FROM areas JOIN ways ON id = fid WHERE leisure = 'park'
         ORDER BY area_m2 DESC, fid LIMIT 10""", "areas"),
     "q_buildings_in_box_area": with_tables(f"""
         SELECT id AS fid, name,
-               CASE WHEN is_area THEN round(area_m2 / 1e6, 0) ELSE 0.0 END AS area_km2
+               CASE WHEN is_area THEN round(area_m2 / 1e6, 3) ELSE 0.0 END AS area_km2
         FROM ways JOIN bounds b ON b.fid = id AND b.type = 1 LEFT JOIN areas a ON a.fid = id
         WHERE building IS NOT NULL AND {overlap(*BOX)}""", "bounds", "areas"),
     "q_point_in_ring": with_tables(f"""
