@@ -2,7 +2,7 @@
 
 Documents are sets of five-word shingles; equal sets are one class, so copies cost nothing beyond the first. A class is
 indexed under its rarest shingles, as many as one must share with any set of similarity 0.8. Which shingles are common
-is a fixed-size bitmap, filled where a task meets a shingle in ``OFTEN`` different sets; it only orders shingles, so
+is a fixed-size bitmap, filled where a task meets a shingle in a second set; it only orders shingles, so
 results don't depend on it. Each index list is ordered by set size and holds the position of its shingle in each set:
 
 * Skipping by position: a list's members are taken in blocks of equal size and position, which bound what two sets
@@ -41,7 +41,7 @@ BLOCK = 4096
 SALTS = 64
 COMMON_BITS = 26
 BITS = 23
-HASHES_COUNTED = 2_000_000
+SEEN_BITS = 28
 OFTEN = 2
 ROUNDS = 3
 SETS_PER_BATCH = 1000
@@ -96,11 +96,16 @@ def signatures(run: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Key, size and signature of each document; and rows of size -1 with bitmap positions of common shingles."""
-    pile, piled = [], 0
-
-    def common():
-        value, count = np.unique(np.concatenate(pile), return_counts=True)
-        bit = np.unique(value[count >= OFTEN] >> np.uint64(64 - COMMON_BITS)).astype(np.int64)
+    seen = np.zeros(1 << SEEN_BITS - 3, np.uint8)
+
+    def common(run):
+        """Shingles of this chunk's different sets that two of them hold, or one of an earlier chunk."""
+        value, count = np.unique(run, return_counts=True)
+        at = (value >> np.uint64(64 - SEEN_BITS)).astype(np.int64)
+        place, bit = at >> 3, np.uint8(1) << (at & 7).astype(np.uint8)
+        again = (count >= OFTEN) | ((seen[place] & bit) != 0)
+        np.bitwise_or.at(seen, place, bit)
+        bit = np.unique(value[again] >> np.uint64(64 - COMMON_BITS)).astype(np.int64)
         zero = pa.array(np.zeros(len(bit), np.int64))
         return pa.RecordBatch.from_arrays([zero, zero, pa.array(np.full(len(bit), -1)), pa.array(bit)],
                                           names=["doc", "text_hash", "n", "sig"])
@@ -114,13 +119,7 @@ def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                                              names=["doc", "text_hash", "n", "sig"])
             first = np.zeros(chunk.n, bool)
             first[_first_of_class(sig)] = True
-            pile.append(run[first[owners(bounds)]])
-            piled += len(pile[-1])
-            if piled >= HASHES_COUNTED:
-                yield common()
-                pile, piled = [], 0
-    if pile:
-        yield common()
+            yield common(run[first[owners(bounds)]])
 
 
 def _bitmap(positions: DataFrame, column: str, n_bits: int = BITS) -> np.ndarray:
