@@ -41,11 +41,11 @@ BLOCK = 4096
 SALTS = 64
 COMMON_BITS = 26
 BITS = 23
-SEEN_BITS = 28
+SEEN_BITS = 27
 OFTEN = 2
 ROUNDS = 3
-SETS_PER_BATCH = 1000
-TEXTS_PER_BATCH = 2000
+SETS_PER_BATCH = 500
+TEXTS_PER_BATCH = 1000
 _LAST = (1 << 63) - 1
 
 
