@@ -10,7 +10,6 @@ from waymark.functions.geometry import area
 from waymark.operators.chains import grow_chains
 from waymark.operators.features import features
 from waymark.operators.multipolygons import area_relations, hole_assignment, relation_measures
-from waymark.operators.rings import large_group_limit
 from waymark.schema import METERS_PER_UNIT, RELATION
 
 A = [(0, 0), (1000, 0), (1000, 1000)]
@@ -199,10 +198,9 @@ def test_large_groups_match_the_plain_plan(build):
     build.area(2, *[("outer", w) for w in cycle(rng, 30, 0)], ("inner", SQ(1, 1, 5)))
     build.area(3, ("outer", A), ("outer", B))
     tables = build.tables()
-    assert large_group_limit(tables, 20) == 20 and large_group_limit(tables, 1000) is None
-    plain = membership(area_relations(tables, large_group=None))
-    assert membership(area_relations(tables, large_group=20)) == plain
-    assert membership(area_relations(tables, large_group=1000)) == plain
+    plain = membership(area_relations(tables))
+    assert membership(area_relations(tables, task_ways=20, materialize=True)) == plain
+    assert membership(area_relations(tables, task_ways=1000, materialize=True)) == plain
     assert len(plain) == len(everything) + 31 + 2
 
 

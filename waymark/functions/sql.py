@@ -11,16 +11,18 @@ _RING_AREA = """abs(aggregate(zip_with(r, slice(r, 2, size(r)), (p, q) -> coales
     (p.x - r[0].x) * (q.y - r[0].y) - (q.x - r[0].x) * (p.y - r[0].y), 0D)), 0D, (a, b) -> a + b)) / 2"""
 
 
+def unit_side(meters: str) -> str:
+    """SQL text for a box side in grid units, as ``units.to_units`` states it."""
+    return (f"CAST(least(greatest({meters} * {UNITS_PER_METER!r}D, {MIN_UNIT}D), {MAX_UNIT}D)"
+            f" AS INT)")
+
+
 def register_functions(spark: SparkSession) -> None:
     """Define geom_area, box_overlaps, to_meters, lon_to_meters and lat_to_meters.
 
     All are expanded into the query, so they are optimized like hand-written
     expressions.
     """
-    def side(meters):
-        return (f"CAST(least(greatest({meters} * {UNITS_PER_METER!r}D, {MIN_UNIT}D), {MAX_UNIT}D)"
-                f" AS INT)")
-
     for definition in (
         f"""geom_area(g {GEOMETRY.simpleString()}) RETURNS DOUBLE
             RETURN CASE WHEN g.kind IN ('Polygon', 'MultiPolygon') THEN
@@ -30,8 +32,8 @@ def register_functions(spark: SparkSession) -> None:
                 WHEN g.kind IS NOT NULL THEN 0D END""",
         f"""box_overlaps(b {BBOX.simpleString()}, xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE)
             RETURNS BOOLEAN
-            RETURN b.xmin <= {side('xmax')} AND b.xmax >= {side('xmin')}
-               AND b.ymin <= {side('ymax')} AND b.ymax >= {side('ymin')}""",
+            RETURN b.xmin <= {unit_side('xmax')} AND b.xmax >= {unit_side('xmin')}
+               AND b.ymin <= {unit_side('ymax')} AND b.ymax >= {unit_side('ymin')}""",
         f"to_meters(units INT) RETURNS DOUBLE RETURN CAST(units AS DOUBLE) * {METERS_PER_UNIT!r}D",
         f"lon_to_meters(lon DOUBLE) RETURNS DOUBLE RETURN radians(lon) * {EARTH_RADIUS!r}D",
         f"""lat_to_meters(lat DOUBLE) RETURNS DOUBLE

@@ -33,8 +33,7 @@ def features(tables: OsmTables, columns: Iterable[str] = ("fid", "type", "tags",
     before geometry, members and parents are put together, so a selective
     filter shrinks those joins as well. ``types`` leaves out whole branches.
     ``declared`` gives the types of unknown columns (default STRING).
-    Relation geometry or bounds first run one small counting job, see
-    ``area_relations``; everything else is lazy.
+    Everything is lazy.
     """
     columns, types = list(columns), set(types)
     wanted = {_ALIASES.get(c, c) for c in columns}

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from waymark.functions.geometry import edge_is_right, multipolygon
 from waymark.functions.units import packed_x, packed_y, to_meters
 from waymark.operators.large_groups import checkpointed
-from waymark.operators.rings import (large_group_limit, relation_ways, ring_pieces, ring_ways,
-                                     rings)
+from waymark.operators.rings import TASK_WAYS, relation_ways, ring_pieces, ring_ways, rings
 from waymark.operators.ways import (merged_bounds, square_meters, way_chunks, way_edges,
                                     way_points)
 from waymark.schema import MAX_GAP_UNITS
@@ -39,21 +38,21 @@ class AreaRelations:
 
 
 def area_relations(tables: OsmTables, relation_ids: DataFrame | None = None,
-                   max_gap: int = MAX_GAP_UNITS, large_group: int | str | None = "check",
+                   max_gap: int = MAX_GAP_UNITS, task_ways: int = TASK_WAYS,
                    materialize: bool = False) -> AreaRelations:
     """Stitch the rings of all area relations, or of those in ``relation_ids``.
 
-    ``large_group="check"`` runs one narrow counting job to choose between the
-    plain plan and the one that splits very large groups. ``materialize``
-    checkpoints the stitched ways (one slim row each): right where several
-    results follow, as holes and measures do, instead of stitching for each.
+    By default nothing runs: the result is one lazy plan, with one task for the
+    open ways of each relation and role. ``materialize`` writes the pieces and
+    the stitched ways (one slim row each), so that holes, measures and geometry
+    all read one table, and splits groups of more than ``task_ways`` open ways
+    by distributed steps on the way.
     """
-    if large_group == "check":
-        large_group = large_group_limit(tables)
     members = relation_ways(tables, relation_ids)
-    points = way_points(tables, members.select("way_id").distinct())
-    placed = ring_ways(ring_pieces(members, points), max_gap, large_group)
-    return AreaRelations(tables, members, checkpointed(placed) if materialize else placed)
+    pieces = ring_pieces(members, way_points(tables, members.select("way_id").distinct()))
+    if not materialize:
+        return AreaRelations(tables, members, ring_ways(pieces, max_gap))
+    return AreaRelations(tables, members, checkpointed(ring_ways(checkpointed(pieces), max_gap, task_ways)))
 
 
 def hole_assignment(areas: AreaRelations) -> DataFrame:

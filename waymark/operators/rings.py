@@ -18,8 +18,8 @@ from waymark.operators.ways import merged_bounds, way_summary
 from waymark.schema import MAX_GAP_UNITS, WAY
 from waymark.sources.tables import OsmTables
 
-# Ways of one relation and role that one task may join; larger groups are split.
-MAX_GROUP_WAYS = 500_000
+# Open ways of one relation and role that one Python call may hold.
+TASK_WAYS = 500_000
 
 _GROUP = ["relation_id", "outer"]
 
@@ -71,17 +71,20 @@ def ring_pieces(member_ways: DataFrame, points: DataFrame) -> DataFrame:
 
 
 def ring_ways(pieces: DataFrame, max_gap: int = MAX_GAP_UNITS,
-              large_group: int | None = None) -> DataFrame:
+              task_ways: int | None = None) -> DataFrame:
     """Each member way with its ring: (…, ring_slot, pos, reversed, status, ring_first, ring_last).
 
     The ring is named by the slot of the way it grew from. Status is
-    ``closed``, ``gap_closed`` or ``discarded``. With ``large_group``, groups
-    of more open ways are first split by distributed steps (and checkpoints).
+    ``closed``, ``gap_closed`` or ``discarded``. The plan is lazy, and joins
+    the open ways of one group in one task. With ``task_ways``, groups of more
+    open ways are split by distributed steps first: cycles are ranked by
+    joins, and only connected ways with branches or loose ends meet in one
+    call. Those steps run at once, so ``pieces`` should be a written table.
     """
     alone, open_ways = _closed(pieces), pieces.where(~_is_closed())
-    if large_group is None:
+    if task_ways is None:
         return alone.unionByName(_join_ends(open_ways, _GROUP, max_gap))
-    small, cycles, rest = split_large(open_ways, large_group, max_gap)
+    small, cycles, rest = split_large(open_ways, task_ways, max_gap)
     joined = alone.unionByName(_join_ends(small, _GROUP, max_gap))
     if cycles is None:
         return joined
@@ -93,20 +96,6 @@ def _is_closed():
     return (F.col("n_points") >= 4) & (F.col("first") == F.col("last"))
 
 
-def large_group_limit(tables: OsmTables, limit: int = MAX_GROUP_WAYS) -> int | None:
-    """``limit`` if some relation lists more outer or inner ways than that, else None.
-
-    A narrow scan with a map-side count bounds the group sizes from above,
-    before any geometry is read. Only if it finds a large group is the count
-    repeated for area relations alone.
-    """
-    for area_only in (False, True):
-        sizes = _role_members(tables, None, area_only).groupBy(*_GROUP).count()
-        if sizes.where(F.col("count") > limit).isEmpty():
-            return None
-    return limit
-
-
 def _closed(pieces: DataFrame) -> DataFrame:
     """Closed ways: each is a ring of its own, in place, without a shuffle."""
     return pieces.where(_is_closed()).select(

@@ -13,9 +13,10 @@ from waymark.operators.features import BOUNDS, features
 from waymark.operators.multipolygons import (area_relations, hole_assignment, relation_geometry,
                                              relation_measures, ring_chunks)
 from waymark.operators.rings import relation_ways
+from waymark.operators.search import register_search
 from waymark.operators.ways import way_area, way_bounds, way_points, way_summary
 from waymark.plans.filters import BOX
-from waymark.plans.oracle import METERS, UNITS, overlap, with_tables
+from waymark.plans.oracle import METERS, UNITS, overlap, units, with_tables
 from waymark.schema import NODE, RELATION, WAY
 from waymark.sources.derived import (LINE_SPAN, SLOT_FACTOR, SLOT_PRIME, derived_tables, large_ring_tables,
                                      ring_tables)
@@ -169,10 +170,28 @@ def ring_pieces_in_order(spark, path):
 
 def large_ring(spark, path):
     """One ring of as many ways as there are customers, stitched by the distributed steps."""
-    areas = area_relations(large_ring_tables(spark, path), large_group=64)
+    areas = area_relations(large_ring_tables(spark, path), task_ways=64, materialize=True)
     return areas.ring_ways.select("way_id", "ring_slot", "pos", "reversed", "status")
 
 
+def sql_search(spark, path):
+    """Types, tag and box through SQL alone, by the table function."""
+    register_search(spark, "osm_search", derived_tables(spark, path))
+    xmin, ymin, xmax, ymax = BOX
+    return spark.sql(f"""SELECT fid, type, is_area, tags['name'] AS name
+        FROM osm_search('nwa', 'name', NULL, {xmin}D, {ymin}D, {xmax}D, {ymax}D)
+        UNION ALL
+        SELECT fid, type, is_area, tags['building']
+        FROM osm_search('wa', 'building', 'yes', NULL, NULL, NULL, {ymin}D)""")
+
+
+def sql_search_areas(spark, path):
+    """Area relations by name and box through the table function."""
+    register_search(spark, "ring_search", ring_tables(spark, path))
+    return spark.sql("""SELECT fid, xmin, ymin, xmax, ymax
+        FROM ring_search('a', 'type', 'multipolygon', 0D, 0D, 30000D, 300D)""")
+
+
 def way_alias(spark, path):
     """``way`` is another name of the geometry column."""
     ring = F.col("way")["parts"][0][0]
@@ -206,6 +225,8 @@ QUERIES = {
     "q_ring_chunks": ring_pieces_in_order,
     "q_ring_large": large_ring,
     "q_way_alias": way_alias,
+    "q_sql_view": sql_search,
+    "q_sql_view_areas": sql_search_areas,
 }
 
 
@@ -346,4 +367,15 @@ ORACLES = {
         FROM ways JOIN (SELECT way_id, count(*) AS n, arg_min(x, seq) AS fx, arg_min(y, seq) AS fy,
                                arg_max(x, seq) AS lx, arg_max(y, seq) AS ly
                         FROM way_points GROUP BY way_id) ON way_id = id""", "nodes", "ways", "way_points"),
+    "q_sql_view": with_tables(f"""
+        SELECT f.fid, f.type, is_area, name FROM features f JOIN bounds b ON b.fid = f.fid AND b.type = f.type
+        WHERE f.type < 2 AND name IS NOT NULL AND {overlap(*BOX)}
+        UNION ALL
+        SELECT f.fid, f.type, is_area, building FROM features f JOIN bounds b ON b.fid = f.fid AND b.type = f.type
+        WHERE f.type = 1 AND building = 'yes' AND ymin <= {units(BOX[1])}""", "features", "bounds"),
+    "q_sql_view_areas": f"""WITH {_RINGS}
+        SELECT k AS fid, CAST(xmin AS INTEGER) AS xmin, CAST(ymin AS INTEGER) AS ymin,
+               CAST(xmax AS INTEGER) AS xmax, CAST(ymax AS INTEGER) AS ymax
+        FROM (SELECT k, x0 AS xmin, y0 AS ymin, x0 + 1000 AS xmax, y0 + 1000 AS ymax FROM rings WHERE gap < 100)
+        WHERE {overlap(0, 0, 30000, 300)}""",
 }
