@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 
 #: States of the determinised transducer, and pieces, kept by a worker; beyond, they start anew. Results don't depend
 #: on either.
-MAX_STATES = 100_000
-MAX_PIECES = 120_000
+MAX_STATES = 130_000
+MAX_PIECES = 165_000
 #: Bytes after which the tokens agreed on are given out.
 WINDOW = 1024
 #: Bytes decoded at a time.
