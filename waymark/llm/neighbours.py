@@ -84,14 +84,14 @@ class Tree:
         return float(gap @ gap)
 
 
-def search(tree: Tree, vectors: np.ndarray, query: np.ndarray, near: np.ndarray, k: int, ratio: float
-           ) -> list[tuple[float, int]]:
-    """(squared distance, row) of the k nearest found, from leaves in order of their projected distance."""
-    best: list[tuple[float, int]] = []
+def search(tree: Tree, vectors: np.ndarray, ids: np.ndarray, query: np.ndarray, near: np.ndarray, k: int, ratio: float
+           ) -> list[tuple[float, int, int]]:
+    """(distance, id, row) of the k nearest found, ties to smaller ids, from leaves in order of projected distance."""
+    best: list[tuple[float, int, int]] = []
     heap = [(tree.reach(0, near), 0)]
     while heap:
         reach, node = heapq.heappop(heap)
-        if len(best) >= k and reach > ratio * best[k - 1][0]:
+        if len(best) >= k and reach > ratio * best[k - 1][0] ** 2:
             break
         left, right = tree.kids[node]
         if left >= 0:
@@ -101,8 +101,8 @@ def search(tree: Tree, vectors: np.ndarray, query: np.ndarray, near: np.ndarray,
         a, b = tree.span[node]
         rows = tree.order[a:b]
         away = vectors[rows] - query
-        best = heapq.nsmallest(k, best + list(zip(np.einsum("ij,ij->i", away, away).tolist(), rows.tolist(),
-                                                  strict=True)))
+        far = np.sqrt(np.einsum("ij,ij->i", away, away))
+        best = heapq.nsmallest(k, best + list(zip(far.tolist(), ids[rows].tolist(), rows.tolist(), strict=True)))
     return best
 
 
@@ -127,11 +127,12 @@ def _searcher(k: int, confidence: float):
         turn = _direction(vectors.shape[1])
         tree, near = Tree(vectors @ turn), asked @ turn
         members = entries["ids"].to_pylist()
+        smallest = np.array([min(ids) for ids in members])
         out = ([], [], [])
         for n, query_id in enumerate(queries["query_id"].to_pylist()):
             # one more: the entry that holds the query itself may hold nothing else
-            found = [(math.sqrt(d), vec_id) for d, row in search(tree, vectors, asked[n], near[n], k + 1, ratio)
-                     for vec_id in members[row] if vec_id != query_id]
+            rows = search(tree, vectors, smallest, asked[n], near[n], k + 1, ratio)
+            found = [(d, vec_id) for d, _, row in rows for vec_id in members[row] if vec_id != query_id]
             for score, vec_id in sorted(found)[:k]:
                 out[0].append(query_id)
                 out[1].append(vec_id)
