@@ -5,10 +5,11 @@ seed words, and of category ``other`` if it holds none; the last link of the cha
 a logistic regression over words and word beginnings that tell classes apart. A later link trains on out-of-fold
 probabilities of the earlier ones, as it will see theirs on unseen documents, never on fitted ones.
 
-Training reads at most ``MAX_LABELLED`` labelled documents, those of lowest hash; scoring covers every document, in
+Training reads at most ``MAX_LABELLED`` labelled documents of ``MAX_LABELLED_BYTES``, those of lowest hash; scoring covers every document, in
 one pass without a shuffle. The model is some thousand hashes with weights, whatever the input's size.
 
 Defined results: a null or empty text has no features and gets the models' bias; labels that are null are no labels;
+an id labelled both ways is toxic; of several texts with one id, one counts for training, by hash;
 repeated rows score alike; with an empty or one-class label table every probability is that class's share (0 without
 labels); an empty table gives an empty result. Other columns are ignored.
 """
@@ -20,9 +21,10 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymark.llm.tables import written
 from waymark.llm.text import Chunk, chunks, mixed, owners
 
 #: Seed words of the seeded categories.
@@ -32,6 +34,7 @@ SEEDS = {
 }
 CATEGORIES = (*SEEDS, "other", "toxic")
 MAX_LABELLED = 4000
+MAX_LABELLED_BYTES = 64 << 20
 MAX_FEATURES = 1000
 FOLDS = 3
 THRESHOLD = 0.5
@@ -178,17 +181,25 @@ def fit_chain(rows: list[np.ndarray], targets: np.ndarray, folds: np.ndarray) ->
 
 
 def labelled_rows(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-                  most: int = MAX_LABELLED) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """Ids, feature sets and labels of at most ``most`` labelled documents."""
-    own = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{key}`").isNotNull()).select(
-        F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{label}`").cast("int").alias("toxic")).distinct()
-    own = own.orderBy(F.xxhash64("id"), "id", "toxic").limit(most)  # bounded, so it may be broadcast
+                  most: int = MAX_LABELLED, most_bytes: int = MAX_LABELLED_BYTES
+                  ) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Ids, feature sets and labels of at most ``most`` labelled documents, the last of which passes ``most_bytes``."""
+    own = labels.where(F.col(f"`{label}`").isNotNull() & F.col(f"`{key}`").isNotNull()).groupBy(
+        F.col(f"`{key}`").cast("long").alias("id")).agg(F.max(F.col(f"`{label}`").cast("int")).alias("toxic"))
     texts = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").cast("binary").alias("__text"))
-    met = texts.join(F.broadcast(own), "id").select("id", "toxic", "__text")
-    table = met.mapInArrow(_distinct_batches, "id long, toxic int, features array<long>").limit(2 * most).toArrow()
+    own = own.join(texts.select("id").distinct(), "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(most)
+    own = written(own, "labels")  # at most ``most`` rows of two numbers, so they may be broadcast
+    met = texts.join(F.broadcast(own), "id").groupBy("id", "toxic").agg(
+        F.min_by("__text", F.struct(F.xxhash64("__text"), "__text")).alias("__text"))
+    met = written(met, "labelled")
+    # sizes of at most ``most`` rows in one window: the documents of lowest hash whose texts fit the bound
+    upto = Window.orderBy(F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, -1)
+    fit = met.select("id", F.octet_length("__text").alias("n")).withColumn(
+        "before", F.coalesce(F.sum("n").over(upto), F.lit(0))).where(F.col("before") < most_bytes).select("id")
+    table = met.join(F.broadcast(fit), "id").select("id", "toxic", "__text").mapInArrow(
+        _distinct_batches, "id long, toxic int, features array<long>").toArrow()
     ids = table["id"].to_numpy()
     order = np.argsort(ids, kind="stable")
-    order = order[np.unique(ids[order], return_index=True)[1]] if len(order) else order
     lists = table["features"].combine_chunks()
     rows = [lists[int(n)].values.to_numpy().view(np.uint64) for n in order]
     return ids[order], rows, table["toxic"].to_numpy()[order].astype(float)
