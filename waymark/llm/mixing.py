@@ -4,7 +4,7 @@ Targets: sources share ``budget`` times all words by weight; a source stops at `
 can't take goes to the others by weight, until none is above. A source with target t and size s takes every document
 ``t div s`` times; the rest of its budget is a subset sum. Documents are counted by exact length; of every length the
 same share is taken, and bounded-knapsack dynamic programming over the remaining lengths closes the gap. Which
-documents of a length go is decided by a seeded hash, so reruns agree on any cluster.
+documents of a length go is decided by a seeded hash of key, text and kept columns, so reruns agree on any cluster.
 
 Nothing gathers documents: knapsacks see one row per length of a source, and the choice among documents of equal
 length works on hash ranges, so a length that a third of all documents share is spread over ``RANGES`` groups.
@@ -30,6 +30,8 @@ WEIGHTS = (3, 1, 2)
 RANGES = 256
 #: Budgets up to so many words are fitted by dynamic programming; what is above is filled with whole documents first.
 DP_WORDS = 1 << 16
+#: Reachable sums held at once where documents are longer than that budget.
+SUMS = 1 << 22
 
 
 def subset_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
@@ -68,7 +70,11 @@ def subset_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarr
 
 
 def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """As ``subset_sum``, for any budget: an even share of all lengths, then the longest that fit, then the DP."""
+    """As ``subset_sum``, for any budget: an even share of all lengths, then the longest that fit, then the DP.
+
+    Where that leaves words over, as documents may be longer than the DP's budget, sums of whole documents are tried
+    over the whole budget, and the nearer fit is taken.
+    """
     size = int((lengths * counts).sum())
     if budget <= 0 or size == 0:
         return np.zeros(len(lengths), np.int64)
@@ -83,7 +89,44 @@ def fit_lengths(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndar
         if more > 0:
             taken[k] += more
             left -= more * int(lengths[k])
-    return taken + subset_sum(lengths, counts - taken, min(left, DP_WORDS * 2))
+    taken = taken + subset_sum(lengths, counts - taken, min(left, DP_WORDS * 2))
+    if (lengths * taken).sum() < budget:
+        other = sparse_sum(lengths, counts, budget)
+        if (lengths * other).sum() > (lengths * taken).sum():
+            return other
+    return taken
+
+
+def sparse_sum(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """As ``subset_sum`` over any budget: reachable sums as a sorted list instead of a bit set.
+
+    Beyond its share of ``SUMS`` entries a list keeps the largest sum of each equal step of the budget; below, it is
+    exact. So few long documents are fitted exactly, many of them to a small part of the budget.
+    """
+    taken = np.zeros(len(lengths), np.int64)
+    items = []  # (weight, length index, copies)
+    for k in np.argsort(-lengths, kind="stable"):
+        left, copies = int(min(counts[k], budget // lengths[k])), 1
+        while left > 0:
+            part = min(copies, left)
+            items.append((int(lengths[k]) * part, k, part))
+            left, copies = left - part, copies * 2
+    most = max(SUMS // max(len(items), 1), 256)
+    layers = [np.zeros(1, np.int64)]
+    for weight, _, _ in items:
+        sums = np.union1d(layers[-1], layers[-1] + weight)
+        sums = sums[sums <= budget]
+        if len(sums) > most:
+            step = sums // max(budget // most, 1)
+            sums = sums[np.append(step[1:] != step[:-1], True)]
+        layers.append(sums)
+    at = int(layers[-1][-1])
+    for (weight, k, copies), before in zip(reversed(items), reversed(layers[:-1]), strict=True):
+        place = np.searchsorted(before, at)
+        if place == len(before) or before[place] != at:
+            taken[k] += copies
+            at -= weight
+    return taken
 
 
 def _fit_source(rows: pd.DataFrame) -> pd.DataFrame:
@@ -144,10 +187,12 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
     ``keep`` travels through two shuffles; leave long columns out and join them by key where they are needed.
     """
     keep = [c for c in (keep or []) if c not in (key, "size", "source_size", "target", "times", "taken")]
-    slim = docs.select(F.col(f"`{key}`"), *[F.col(f"`{c}`") for c in keep],
-                       F.col(f"`{source}`").cast("string").alias("__source"), words_in(text).alias("__size"))
+    # all that tells rows apart draws, so rows with one key or none spread, and reruns take the same rows
+    told = [c for c in dict.fromkeys([key, text, *keep]) if "map<" not in docs.schema[c].dataType.simpleString()]
+    slim = docs.select(F.col(f"`{key}`").alias("__key"), *[F.col(f"`{c}`").alias(f"__k{n}") for n, c in enumerate(keep)],
+                       F.col(f"`{source}`").cast("string").alias("__source"), words_in(text).alias("__size"),
+                       F.xxhash64(*[F.col(f"`{c}`") for c in told], F.lit(seed)).alias("__draw"))
     slim = slim.withColumns({
-        "__draw": F.xxhash64(F.col(f"`{key}`"), F.lit(seed)),
         # null and any text have different ids, and joins need no null-safe test
         "__sid": F.coalesce(F.concat(F.lit("s"), F.col("__source")), F.lit("")),
     }).withColumn("__range", F.shiftright("__draw", 56).cast("int"))
@@ -172,10 +217,10 @@ def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str
         .select("__sid", F.col("size").alias("__size"), "__range", "source_size", "target", "whole",
                 F.greatest(F.coalesce("chosen", F.lit(0)) - F.col("before"), F.lit(0)).alias("quota"))
     nth = F.row_number().over(Window.partitionBy("__sid", "__size", "__range").orderBy(
-        "__draw", *[F.col(f"`{c}`") for c in [key]]))
+        "__draw", "__key"))
     times = (F.col("whole") + (nth <= F.col("quota")).cast("long")).alias("times")
     return slim.join(quota, ["__sid", "__size", "__range"]).select(
-        F.col(f"`{key}`"), *[F.col(f"`{c}`") for c in keep], F.col("__size").alias("size"), "source_size", "target",
+        F.col("__key").alias(key), *[F.col(f"__k{n}").alias(c) for n, c in enumerate(keep)], F.col("__size").alias("size"), "source_size", "target",
         F.when(F.col("__size") > 0, times).otherwise(0).cast("long").alias("times")
     ).withColumn("taken", F.col("times") * F.col("size"))
 
