@@ -168,12 +168,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     of its plan, and over many rounds of joins that estimate, a product each
     time, grows beyond all bounds and stalls planning.
     """
-    path = f"{_shared_folder(df.sparkSession)}/waymark-{uuid.uuid4().hex}"
+    path = f"{shared_folder(df.sparkSession)}/waymark-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:

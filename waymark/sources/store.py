@@ -27,7 +27,7 @@ def write_features(tables: OsmTables, path: str, columns: Iterable[str] = STORED
     columns = list(dict.fromkeys([*STORED_COLUMNS, *columns]))
     rows = features(tables, columns).select(
         "*", *[F.col("tags")[k].alias(_flat(k)) for k in hot_keys],
-        F.expr(_z_order("xmin", "ymin")).alias("cell"))
+        F.expr(z_order("xmin", "ymin")).alias("cell"))
     # The id breaks up cells that hold very many features.
     (rows.repartitionByRange("type", "cell", "fid").sortWithinPartitions("type", "cell", "fid")
      .drop("cell").write.mode(mode).partitionBy("type").parquet(path))
@@ -46,7 +46,7 @@ def _flat(key: str) -> str:
     return f"tag_{key}"
 
 
-def _z_order(x: str, y: str) -> str:
+def z_order(x: str, y: str) -> str:
     """Interleave the high 16 bits of both axes."""
     def spread(value):
         text = f"(shiftright({value}, 16) + 32768)"
