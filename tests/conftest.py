@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
                .config("spark.sql.session.timeZone", "UTC")
                .config("spark.driver.memory", "8g")
                .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+               .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from waymark.operators.features import features
-from waymark.operators.graph import (first_n, member_counts, parent_counts, unnest_members,
-                                     unnest_parents)
+from waymark.operators.graph import (first_n, member_arrays, member_chunks, member_counts, parent_arrays,
+                                     parent_chunks, parent_counts, unnest_members, unnest_parents)
 from waymark.schema import NODE, RELATION, WAY
 
 
@@ -83,3 +83,28 @@ def test_first_n_beyond_the_group_limit_is_salted_and_exact(spark):
     assert "salt" in got._jdf.queryExecution().analyzed().toString()
     rows = got.groupBy("k").agg(F.count("*"), F.max("v")).orderBy("k").collect()
     assert rows == [(0, 1500, 2998), (1, 1500, 2999)]
+
+
+def test_chunks_hold_the_whole_lists_in_order(spark, build):
+    for n in range(50):
+        build.node(n, n, n)
+    hub = [("n", n % 50, f"r{n}") for n in range(230)]
+    build.relation(1, hub).relation(2, [("n", 3, "")]).relation(-7, [("n", 3, "")])
+    for n in range(40):
+        build.relation(100 + n, [("n", 3, "x"), ("n", 3, "y")])
+    tables = build.tables()
+    rows = member_chunks(tables, span=32).collect()
+    assert max(len(r.members) for r in rows) == 32 and len([r for r in rows if r.relation_id == 1]) == 8
+    whole = {r.relation_id: r.members for r in member_arrays(tables).collect()}
+    joined = {}
+    for r in sorted(rows, key=lambda r: r.chunk):
+        joined.setdefault(r.relation_id, []).extend(r.members)
+    assert joined == whole
+
+    rows = parent_chunks(tables, NODE, span=16).collect()
+    assert max(len(r.parents) for r in rows) <= 16
+    joined = {}
+    for r in sorted(rows, key=lambda r: (r.parent_type, r.chunk)):
+        joined.setdefault(r.fid, []).extend(r.parents)
+    assert joined == {r.fid: r.parents for r in parent_arrays(tables, NODE).collect()}
+    assert len(joined[3]) == 43

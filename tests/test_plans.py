@@ -10,7 +10,8 @@ from waymark.functions.tags import tag_equals
 from waymark.operators.features import BOUNDS, FEATURE_COLUMNS, features, register_features
 from waymark.operators.graph import first_n
 from waymark.operators.multipolygons import area_relations, hole_assignment, relation_measures
-from waymark.sources.tables import read_tables, write_tables
+from waymark.operators.ways import way_points
+from waymark.sources.tables import TABLE_NAMES, bucketed_tables, read_tables, write_bucketed, write_tables
 
 ANY_JOIN = re.compile(r"\b\w*Join\b")
 
@@ -82,3 +83,24 @@ def test_no_pairing_join(stored):
     areas = area_relations(stored)
     for df in (hole_assignment(areas), relation_measures(areas)):
         assert not re.search("NestedLoop|Cartesian", plan(df))
+
+
+def test_bucketed_tables_join_without_exchange(spark):
+    from fixtures import Builder, square
+    build = Builder(spark)
+    for n in range(40):
+        build.way(n, square(n * 10, 0, 5))
+    tables = build.tables()
+    write_bucketed(tables, "bucketed_osm", 4, mode="overwrite")
+    bucketed = bucketed_tables(spark, "bucketed_osm")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        points = way_points(bucketed)
+        text = plan(points)
+        assert "SortMergeJoin" in text and "Exchange" not in text
+        assert sorted(points.collect()) == sorted(way_points(tables).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for name in TABLE_NAMES:
+            spark.sql(f"DROP TABLE bucketed_osm_{name}")

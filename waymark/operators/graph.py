@@ -1,8 +1,8 @@
 """The member graph: ordered relation members and inverse parents.
 
 Edges stay narrow BIGINT rows until the last step. The row forms are the
-scalable ones; the array columns only ever gather ``max_members`` or
-``max_parents`` rows per feature.
+scalable ones; chunks are arrays of bounded length; the array columns gather
+all rows of a feature, or ``max_members`` / ``max_parents`` of them.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from waymark.schema import NODE, RELATION, WAY
 from waymark.sources.tables import OsmTables
 
 _SALTS = 64
+#: Width of a chunk in sequence numbers (members) or in ids (parents).
+CHUNK_SPAN = 4096
 
 
 def first_n(df: DataFrame, key: Sequence[str], order: Sequence[str], n: int | None) -> DataFrame:
@@ -78,6 +80,20 @@ def member_arrays(tables: OsmTables, max_members: int | None = None,
                                        e["role"].alias("role"))).alias("members"))
 
 
+def member_chunks(tables: OsmTables, relation_ids: DataFrame | None = None, span: int = CHUNK_SPAN) -> DataFrame:
+    """(relation_id, chunk, members): the members array in pieces, one for each ``span`` of sequence numbers.
+
+    Chunks in order hold all entries in order, and none holds more entries than
+    share its span, so the list of a relation with any number of members is
+    spread over tasks and rows.
+    """
+    entry = F.struct("seq", *_entry("member_type", "member_id"), "role")
+    return member_edges(tables, relation_ids).groupBy("relation_id", F.expr(f"seq DIV {span}").alias("chunk")).agg(
+        F.transform(F.sort_array(F.collect_list(entry)),
+                    lambda e: F.struct(e["type"].alias("type"), e["id"].alias("id"), e["role"].alias("role")))
+        .alias("members"))
+
+
 def member_counts(tables: OsmTables, max_members: int | None = None,
                   relation_ids: DataFrame | None = None) -> DataFrame:
     """(relation_id, member_count, members_truncated) from a plain count."""
@@ -129,6 +145,21 @@ def parent_arrays(tables: OsmTables, child_type: int, max_parents: int | None =
         .alias("parents"))
 
 
+def parent_chunks(tables: OsmTables, child_type: int, child_ids: DataFrame | None = None,
+                  span: int = CHUNK_SPAN) -> DataFrame:
+    """(fid, parent_type, chunk, parents): the parents array in pieces, one for each ``span`` of parent ids.
+
+    A parent counts once, so a chunk has at most ``span`` entries, however many
+    parents a feature has. By parent type and chunk, all entries are in order.
+    """
+    edges = parent_edges(tables, child_type, child_ids)
+    # Rounded down below zero as well, so that chunks are in the order of their ids.
+    chunk = F.expr(f"(parent_id - pmod(parent_id, {span})) DIV {span}").alias("chunk")
+    ids = edges.groupBy("fid", "parent_type", chunk).agg(F.sort_array(F.collect_list("parent_id")).alias("ids"))
+    return ids.select("fid", "parent_type", "chunk", F.transform(
+        "ids", lambda i: F.struct(*_entry(F.col("parent_type"), i))).alias("parents"))
+
+
 def parent_counts(tables: OsmTables, child_type: int, max_parents: int | None = None,
                   child_ids: DataFrame | None = None) -> DataFrame:
     """(fid, parent_count, parents_truncated) from a plain count."""

@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.functions.tags import tag, tag_equals
 from waymark.operators.features import ALL_TYPES, features
-from waymark.operators.graph import member_counts, parent_counts, unnest_members, unnest_parents
+from waymark.operators.graph import (member_chunks, member_counts, parent_chunks, parent_counts, unnest_members,
+                                     unnest_parents)
 from waymark.plans.oracle import with_tables
 from waymark.schema import RELATION
 from waymark.sources.derived import derived_tables, ring_tables
 
+#: Widths of chunks in the queries, in sequence numbers and in ids of the derived tables.
+MEMBER_SPAN, PARENT_SPAN = 1000, 512
+
 
 def _members(cap):
     def run(spark, path):
@@ -84,6 +88,27 @@ def exploded_parents(spark, path):
         F.col("p.id").alias("parent_id"))
 
 
+def chunked_members(spark, path):
+    """Every entry with its place in the whole list, from chunks: one slim row a chunk gives the places before it."""
+    rows = member_chunks(derived_tables(spark, path), span=MEMBER_SPAN)
+    before = F.sum(F.size("members")).over(
+        Window.partitionBy("relation_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1))
+    starts = rows.select("relation_id", "chunk", F.coalesce(before, F.lit(0)).alias("before"))
+    return rows.join(starts, ["relation_id", "chunk"]).select(
+        F.col("relation_id").alias("fid"), "before", F.posexplode("members").alias("place", "m")).select(
+        "fid", (F.col("before") + F.col("place") + 1).alias("place"), F.col("m.type").alias("member_type"),
+        F.col("m.id").alias("member_id"), F.col("m.role").alias("member_role"))
+
+
+def chunked_parents(spark, path):
+    tables = derived_tables(spark, path)
+    parts = [parent_chunks(tables, code, features(tables, ["fid"], types=[code]), PARENT_SPAN).select(
+        "fid", F.lit(code).alias("type"), "parent_type", "chunk", F.size("parents").alias("n"),
+        F.concat_ws(",", F.transform("parents", lambda p: F.concat_ws(":", p["type"], p["id"]))).alias("entries"))
+        for code in ALL_TYPES]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def member_count(spark, path):
     tables = derived_tables(spark, path)
     names = features(tables, types=[RELATION]).select("fid", tag("name").alias("name"))
@@ -110,6 +135,8 @@ QUERIES = {
     "q_unnest_parents": unnested_parents,
     "q_explode_members": exploded_members,
     "q_explode_parents": exploded_parents,
+    "q_member_chunks": chunked_members,
+    "q_parent_chunks": chunked_parents,
     "q_member_count": member_count,
     "q_member_count_limit": first_member_counts,
     "q_parent_count": parent_count,
@@ -162,6 +189,13 @@ ORACLES = {
     "q_explode_parents": with_tables("""
         SELECT child_id AS fid, child_type AS feature_type, CAST(rn AS INTEGER) AS place, ptype AS parent_type,
                CAST(parent_id AS VARCHAR) AS parent_id FROM parents""", "parents"),
+    "q_member_chunks": with_tables("""
+        SELECT relation_id AS fid, rn AS place, mtype AS member_type, CAST(member_id AS VARCHAR) AS member_id,
+               role AS member_role FROM members""", "members"),
+    "q_parent_chunks": with_tables(f"""
+        SELECT child_id AS fid, child_type AS type, parent_type, CAST(floor(parent_id / {PARENT_SPAN}) AS BIGINT) AS chunk,
+               CAST(count(*) AS INTEGER) AS n, string_agg(ptype || ':' || parent_id, ',' ORDER BY parent_id) AS entries
+        FROM parents GROUP BY ALL""", "parents"),
     "q_member_count": with_tables(_MEMBER_COUNT, "members"),
     "q_member_count_limit": with_tables(_MEMBER_COUNT + " ORDER BY fid LIMIT 10", "members"),
     "q_parent_count": with_tables(f"""

@@ -86,6 +86,31 @@ def write_tables(tables: OsmTables, path: str, mode: str = "errorifexists") -> N
             f"{path}/{name}")
 
 
+def write_bucketed(tables: OsmTables, prefix: str, buckets: int, mode: str = "errorifexists") -> None:
+    """Save nodes and way nodes as tables bucketed by node id, all else as plain tables.
+
+    For data that change: nodes move without way nodes being written anew, and
+    the join of both still needs no exchange, as equal buckets meet in place.
+    Choose ``buckets`` so that one bucket of way nodes suits a task.
+    """
+    keys = {"nodes": ["id"], "way_nodes": ["node_id"]}
+    for name in TABLE_NAMES:
+        df = getattr(tables, name)
+        if name in keys:
+            # one file a bucket, as each task holds whole buckets
+            df = df.repartition(buckets, *keys[name])
+            df.write.mode(mode).bucketBy(buckets, *keys[name]).sortBy(*keys[name]).saveAsTable(f"{prefix}_{name}")
+        else:
+            df.write.mode(mode).saveAsTable(f"{prefix}_{name}")
+
+
+def bucketed_tables(spark: SparkSession, prefix: str, seq_span: int = 4096) -> OsmTables:
+    def opener(name: str) -> Callable[[], DataFrame]:
+        return lambda: spark.table(f"{prefix}_{name}")
+
+    return OsmTables(spark, {name: opener(name) for name in TABLE_NAMES}, seq_span)
+
+
 def tags_from_pairs(pairs: DataFrame, owner: str = "id") -> DataFrame:
     """(owner, seq, k, v) rows to one tag map per owner; a repeated key keeps its last value."""
     last = pairs.groupBy(owner, "k").agg(F.max_by("v", "seq").alias("v"))
