@@ -149,6 +149,7 @@ def test_byte_bpe(docs, rows, empty):
     own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
     ids = byte_bpe.encoded(docs, PATH, public_tokenizers.PATTERN)
     got = by_id(byte_bpe.decoded(ids, PATH, public_tokenizers.PATTERN))
+    assert got == by_id(byte_bpe.round_trip(docs, PATH, public_tokenizers.PATTERN))
     for key, text, *_ in rows:
         assert list(got[key].ids) == own.encode_ordinary(text or "")
         assert got[key].decoded == (text or "")

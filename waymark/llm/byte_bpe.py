@@ -343,11 +343,7 @@ def _texts(column: pa.Array) -> Iterator[str]:
         yield "" if raw is None else raw.to_pybytes().decode("utf-8", "replace")
 
 
-def encoded(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, n_tokens and ids of every document."""
-    source = docs.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("binary").alias("__text"))
-    kind = source.schema[0].dataType.simpleString()
-
+def _encoder(path: str, pattern: str, key: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = codec(path, pattern).ids
         for batch in batches:
@@ -360,16 +356,10 @@ def encoded(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
                     [part.column(0), pa.array(n), pa.ListArray.from_arrays(ends, np.concatenate(ids))],
                     names=[key, "n_tokens", "ids"])
 
-    return source.mapInArrow(run, f"`{key}` {kind}, n_tokens long, ids array<int>")
+    return run
 
 
-def decoded(tokens: DataFrame, path: str, pattern: str, key: str = "doc_id",
-            keep: Sequence[str] = ("ids", "decoded")) -> DataFrame:
-    """``key``, n_tokens, checksums of the ids and of the decoded bytes, and of ids and decoded text those in ``keep``."""
-    source = tokens.select(F.col(f"`{key}`"), "n_tokens", "ids")
-    kinds = {key: source.schema[0].dataType.simpleString(), "n_tokens": "long", "ids_sha256": "string",
-             "decoded_sha256": "string"} | {c: {"ids": "array<int>", "decoded": "string"}[c] for c in keep}
-
+def _decoder(path: str, pattern: str, key: str, keep: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
@@ -392,4 +382,42 @@ def decoded(tokens: DataFrame, path: str, pattern: str, key: str = "doc_id",
                 extra = {"ids": lists, "decoded": pa.array(texts, pa.string())}
                 yield pa.RecordBatch.from_pydict(columns | {c: extra[c] for c in keep})
 
-    return source.mapInArrow(run, ", ".join(f"`{c}` {kind}" for c, kind in kinds.items()))
+    return run
+
+
+def _decoded_kinds(kind: str, key: str, keep: Sequence[str]) -> str:
+    kinds = {key: kind, "n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"} | {
+        c: {"ids": "array<int>", "decoded": "string"}[c] for c in keep}
+    return ", ".join(f"`{c}` {kind}" for c, kind in kinds.items())
+
+
+def _source(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`").cast("binary").alias("__text"))
+
+
+def encoded(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key``, n_tokens and ids of every document."""
+    source = _source(docs, key, text)
+    kind = source.schema[0].dataType.simpleString()
+    return source.mapInArrow(_encoder(path, pattern, key), f"`{key}` {kind}, n_tokens long, ids array<int>")
+
+
+def decoded(tokens: DataFrame, path: str, pattern: str, key: str = "doc_id",
+            keep: Sequence[str] = ("ids", "decoded")) -> DataFrame:
+    """``key``, n_tokens, checksums of the ids and of the decoded bytes, and of ids and decoded text those in ``keep``."""
+    source = tokens.select(F.col(f"`{key}`"), "n_tokens", "ids")
+    kind = source.schema[0].dataType.simpleString()
+    return source.mapInArrow(_decoder(path, pattern, key, keep), _decoded_kinds(kind, key, keep))
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text",
+               keep: Sequence[str] = ("ids", "decoded")) -> DataFrame:
+    """``decoded`` of ``encoded``, in one Python worker a task instead of two, and without sending ids back and forth."""
+    source = _source(docs, key, text)
+    kind = source.schema[0].dataType.simpleString()
+    encode, decode = _encoder(path, pattern, key), _decoder(path, pattern, key, keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from decode(encode(batches))
+
+    return source.mapInArrow(run, _decoded_kinds(kind, key, keep))

@@ -30,8 +30,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = byte_bpe.encoded(documents(spark, sf_dir), path, pattern)
-    return byte_bpe.decoded(ids, path, pattern, keep=())
+    return byte_bpe.round_trip(documents(spark, sf_dir), path, pattern, keep=())
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
