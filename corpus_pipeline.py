@@ -34,9 +34,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids and checksums of the ids and of the text decoded from them."""
-    path = public_tokenizers.path(RANKS)
-    ids = byte_bpe.encoded(docs, path, public_tokenizers.PATTERN)
-    return byte_bpe.decoded(ids, path, public_tokenizers.PATTERN, keep=("ids",))
+    return byte_bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, keep=("ids",))
 
 
 STAGES = [
