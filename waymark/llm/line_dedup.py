@@ -7,9 +7,11 @@ their first as the partner of all others, so a block that a third of all documen
 pairs, and every line that any earlier document has in a common block is met in some first holder.
 
 A pair is aligned by patience diff: lines unique in both anchor the longest increasing run, which grows to equal
-neighbours and splits the rest, to be aligned in turn. Aligned runs of MIN_WORDS words or more are deleted from the
-later document, and so are common runs of so many words outside the alignment: repeated passages and passages in
-another order. No run of MIN_WORDS words that an earlier document holds as it came is left.
+neighbours and splits the rest, to be aligned in turn; where no line is unique, the first occurrence meets the first, the
+second the second. Aligned runs of MIN_WORDS words or more are deleted from the later document. What one alignment can't
+hold, as repeated passages and passages in another order, is aligned again, now by its runs of MIN_WORDS words in place
+of lines, until no such run that both documents hold is left. Nothing is deleted but by an alignment, and no run of
+MIN_WORDS words that an earlier document holds as it came is left.
 
 Documents are ordered by key, then by a hash of the text. Defined results: null and empty texts stay as they are;
 rows with a null key come last in the order; rows equal in key and text are one document and all stay; lines without
@@ -82,7 +84,7 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
 
 
 def aligned(later: list[int], earlier: list[int]) -> list[tuple[int, int]]:
-    """Matched line numbers of two documents, in order, by patience diff."""
+    """Matched places of two sequences, in order, by patience diff; whatever they have in common, one place is matched."""
     out, todo = [], [(0, len(later), 0, len(earlier))]
     while todo:
         a, b, c, d = todo.pop()
@@ -104,6 +106,8 @@ def aligned(later: list[int], earlier: list[int]) -> list[tuple[int, int]]:
                 seen[3] = n
                 count[later_line] = seen
         anchors = _rising([(v[2], v[3]) for v in count.values() if v[0] == v[1] == 1])
+        if not anchors:
+            anchors = _rising(_by_occurrence(later, range(a, b), earlier, range(c, d)))
         if not anchors:
             continue
         edge = (a, c)
@@ -115,6 +119,14 @@ def aligned(later: list[int], earlier: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _by_occurrence(later: list[int], at: range, earlier: list[int], of: range) -> list[tuple[int, int]]:
+    """The first place of each value with its first place in the other sequence, the second with the second."""
+    places: dict[int, list[int]] = {}
+    for j in reversed(of):
+        places.setdefault(earlier[j], []).append(j)
+    return [(i, places[later[i]].pop()) for i in at if places.get(later[i])]
+
+
 def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest run of pairs, in order of the first number, whose second numbers rise."""
     from bisect import bisect_left
@@ -131,33 +143,57 @@ def _rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return run[::-1]
 
 
+def _without_repeats(values: list[int]) -> Iterator[tuple[int, int]]:
+    """Pieces, as long as can be, in which no value occurs twice."""
+    start, seen = 0, set()
+    for n, value in enumerate(values):
+        if value in seen:
+            yield start, n
+            start, seen = n, set()
+        seen.add(value)
+    yield start, len(values)
+
+
+def _runs(lines: list[int], sizes: list[int], min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The minimal runs of one document, in order: first line, last line, key."""
+    first, last, key = minimal_runs(np.array(lines, np.int64).view(np.uint64), np.array(sizes, np.int64),
+                                    np.array([0, len(lines)]), min_words)
+    order = np.lexsort((last, first))
+    return first[order], last[order], key[order]
+
+
 def common_blocks(later: list[int], sizes: list[int], earlier: list[int], min_words: int) -> list[int]:
     """Line numbers of the later document that lie in runs of at least ``min_words`` words both documents hold.
 
-    Aligned runs first; then what no one alignment holds, as passages that a document repeats or that stand in another
-    order: the minimal runs of the later document are looked up among those of the earlier one.
+    Lines are aligned first. Runs that are left are aligned in turn, each time those still left; a document that repeats
+    a passage more often than the earlier one is aligned piece by piece.
     """
-    gone, run = set(), []
+    gone, run = np.zeros(len(later), bool), []
     for pair in [*aligned(later, earlier), (-9, -9)]:
         if run and (pair[0] != run[-1][0] + 1 or pair[1] != run[-1][1] + 1):
             if sum(sizes[i] for i, _ in run) >= min_words:
-                gone.update(i for i, _ in run)
+                gone[run[0][0]:run[-1][0] + 1] = True
             run = []
         run.append(pair)
-    if len(gone) < len(later):
-        words = dict(zip(later, sizes, strict=True))
-        # a line that only the earlier document has counts 0: no run with it is looked up
-        first, last, keys = minimal_runs(np.array(later, np.int64).view(np.uint64), np.array(sizes, np.int64),
-                                         np.array([0, len(later)]), min_words)
-        known = minimal_runs(np.array(earlier, np.int64).view(np.uint64),
-                             np.array([words.get(x, 0) for x in earlier], np.int64),
-                             np.array([0, len(earlier)]), min_words)[2]
-        edge = np.zeros(len(later) + 1, np.int64)
-        both = np.isin(keys, known)
-        np.add.at(edge, first[both], 1)
-        np.add.at(edge, last[both] + 1, -1)
-        gone.update(np.flatnonzero(np.cumsum(edge[:-1]) > 0).tolist())
-    return sorted(gone)
+    if gone.all():
+        return list(range(len(later)))
+    words = dict(zip(later, sizes, strict=True))
+    first, last, key = _runs(later, sizes, min_words)
+    # a line that only the earlier document has counts 0 words: no run that both hold has one
+    known = _runs(earlier, [words.get(x, 0) for x in earlier], min_words)[2]
+    open_ = np.flatnonzero(np.isin(key, known))
+    again = False
+    while True:
+        done = np.concatenate(([0], np.cumsum(gone)))
+        open_ = open_[done[last[open_] + 1] - done[first[open_]] < last[open_] + 1 - first[open_]]
+        mine, theirs = key[open_].tolist(), known[np.isin(known, key[open_])].tolist()
+        matched = [a + i for a, b in (_without_repeats(mine) if again else [(0, len(mine))])
+                   for i, _ in aligned(mine[a:b], theirs)]
+        if not matched:
+            return np.flatnonzero(gone).tolist()
+        for n in open_[matched]:
+            gone[first[n]:last[n] + 1] = True
+        again = True
 
 
 def _align_batches(min_words: int):
