@@ -1,20 +1,20 @@
-"""N-gram Jaccard join: an inverted index read in blocks by position, with answers derived from computed ones.
+"""N-gram Jaccard join: an inverted index skipped by position, with answers derived from computed ones.
 
 Documents are sets of five-word shingles; equal sets are one class, so copies cost nothing beyond the first. A class is
 indexed under its rarest shingles, as many as one must share with any set of similarity 0.8. Which shingles are common
 is a fixed-size bitmap, filled where a task meets a shingle in a second set; it only orders shingles, so
 results don't depend on it. Each index list is ordered by set size and holds the position of its shingle in each set:
 
-* Skipping by position: a list's members are taken in blocks of equal size and position, which bound what two sets
-  can still share; blocks that can't reach the threshold are never paired.
+* Skipping by position: size and position of two members bound what their sets can still share; members that can't
+  reach the threshold are no pair. A list is ordered by size, so a member only meets the stretch of sizes in reach.
 * Answers from answers: each list has a leader, its smallest set, against which all its members are verified, once for
   all lists. Members linked to a common leader are one component and need no test among each other. For others the
   leader's answers bound theirs: two sets share at most what both share with the leader plus what both have besides,
   and at least what the leader's answers force. Pairs that these bounds and sketches of both sets leave open are
   verified, in rounds, as long as their classes are not in one component.
 
-So a group of near copies costs one comparison a member, and no list is paired in full. Lists longer than ``BLOCK``
-are paired block by block. Verification compares whole sets of 64-bit hashes. Components come from label rounds.
+So a group of near copies costs one comparison a member. What is left of lists longer than ``BLOCK`` is paired in parts
+by a hash of the signature; these parts have no bounds of their own, so none is skipped whole. Verification compares whole sets of 64-bit hashes. Components come from label rounds.
 
 Defined results: null and empty texts, and texts without words, have no set and are linked with nothing; fewer words
 than five are one shingle; rows with a null key take part and come last in the order; rows with equal keys are linked
