@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from waymark.functions.geometry import area as geom_area
 from waymark.functions.geometry import envelope, overlaps, ring_contains
-from waymark.functions.tags import tag, tag_equals, tag_exists
+from waymark.functions.tags import selector, tag, tag_equals, tag_exists
 from waymark.functions.units import packed_x, packed_y, to_meters, to_units
 from waymark.operators.features import BOUNDS, features
+from waymark.operators.largest import largest_areas
 from waymark.operators.multipolygons import (area_relations, hole_assignment, relation_geometry,
                                              relation_measures, ring_chunks)
 from waymark.operators.rings import relation_ways
@@ -18,8 +19,8 @@ from waymark.operators.ways import way_area, way_bounds, way_points, way_summary
 from waymark.plans.filters import BOX
 from waymark.plans.oracle import METERS, UNITS, overlap, units, with_tables
 from waymark.schema import NODE, RELATION, WAY
-from waymark.sources.derived import (LINE_SPAN, SLOT_FACTOR, SLOT_PRIME, derived_tables, large_ring_tables,
-                                     ring_tables)
+from waymark.sources.derived import (FAR, LINE_SPAN, SLOT_FACTOR, SLOT_PRIME, WIDTH_FACTOR, WIDTH_LIMIT,
+                                     derived_tables, large_ring_tables, region_tables, ring_tables)
 
 # A fixed five-cornered test ring, in meters.
 TEST_RING = [(-9000000.0, -8000000.0), (11000000.0, -6000000.0), (3000000.0, 1000000.0),
@@ -204,6 +205,34 @@ def multipolygon_bounds(spark, path):
             .where(overlaps(envelope(0, 0, 30000, 300))).select("fid"))
 
 
+def _largest(spark, path, where=None):
+    return largest_areas(region_tables(spark, path), 25, where).select(
+        "type", "fid", F.col("area2").cast("string").alias("area2"), F.round(F.col("area_m2") / 1e6, 3).alias("area_km2"))
+
+
+def top_areas(spark, path):
+    """The largest of all areas, ways and relations alike."""
+    return _largest(spark, path)
+
+
+def top_area_parks(spark, path):
+    return _largest(spark, path, tag_equals("leisure", "park"))
+
+
+def parks_of_both_types(spark, path):
+    """The selector for areas meets ways and relations."""
+    return features(region_tables(spark, path), ["fid", "type", "tags"],
+                    where=selector("a", tag_equals("leisure", "park"))).select("fid", "type", tag("name").alias("name"))
+
+
+def area_of_geom(spark, path):
+    """Area by the geometry value itself, of area ways and area relations in one query."""
+    return (features(region_tables(spark, path), ["fid", "type", "geom"], types=[WAY, RELATION],
+                     where=selector("a", tag_equals("leisure", "park")))
+            .where("geom IS NOT NULL")
+            .select("fid", "type", "geom.kind", F.round(geom_area("geom") / 1e6, 0).alias("area_km2")))
+
+
 QUERIES = {
     "q_node_meters": node_meters,
     "q_point_geom": point_geom,
@@ -224,6 +253,10 @@ QUERIES = {
     "q_relation_geom": relation_geoms,
     "q_ring_chunks": ring_pieces_in_order,
     "q_ring_large": large_ring,
+    "q_top_areas": top_areas,
+    "q_top_area_parks": top_area_parks,
+    "q_area_selector": parks_of_both_types,
+    "q_area_of_geom": area_of_geom,
     "q_way_alias": way_alias,
     "q_sql_view": sql_search,
     "q_sql_view_areas": sql_search_areas,
@@ -270,6 +303,22 @@ def _at(units):
     return f"round({units} * {METERS}, 3)"
 
 
+_REGIONS = f"""
+    regions AS (SELECT c_custkey - {FAR} AS fid, c_name AS name, c_custkey % 4 = 1 AS park, c_custkey % 11 = 0 AS broken,
+                       (2 * (1000000 - CASE c_custkey % 5 WHEN 0 THEN 40000 ELSE 0 END))::HUGEINT
+                       * (c_custkey * {WIDTH_FACTOR} % {WIDTH_LIMIT} + 1) * (c_custkey * {WIDTH_FACTOR} % {WIDTH_LIMIT} + 1) AS area2
+                FROM customer)"""
+
+
+def _largest_sql(ways, relations):
+    return with_tables(f"""
+        , {_REGIONS}
+        SELECT type, fid, CAST(area2 AS VARCHAR) AS area2, round(area2::DOUBLE / 2 * {METERS} * {METERS} / 1e6, 3) AS area_km2
+        FROM (SELECT 1 AS type, fid, area2 FROM areas JOIN ways ON id = fid WHERE {ways}
+              UNION ALL SELECT 2, fid, area2 FROM regions WHERE NOT broken AND {relations})
+        ORDER BY area2::HUGEINT DESC, type, fid LIMIT 25""", "areas")
+
+
 _OUTLINE_STATUS = "CASE gap WHEN 0 THEN 'closed' WHEN 50 THEN 'gap_closed' ELSE 'discarded' END"
 
 ORACLES = {
@@ -359,6 +408,19 @@ ORACLES = {
         SELECT k AS way_id, lead.slot AS ring_slot,
                (CASE WHEN lead.odd THEN lead.place - w.place ELSE w.place - lead.place END + n) % n AS pos,
                w.odd <> lead.odd AS reversed, 'closed' AS status FROM w, lead""",
+    "q_top_areas": _largest_sql("true", "true"),
+    "q_top_area_parks": _largest_sql("leisure = 'park'", "park"),
+    "q_area_selector": with_tables(f"""
+        , {_REGIONS}
+        SELECT id AS fid, 1 AS type, name FROM ways WHERE is_area AND leisure = 'park'
+        UNION ALL SELECT fid, 2, name FROM regions WHERE park""", "ways"),
+    "q_area_of_geom": with_tables(f"""
+        , {_REGIONS}
+        SELECT fid, 1 AS type, 'Polygon' AS kind, round(area_m2 / 1e6, 0) AS area_km2
+        FROM areas JOIN ways ON id = fid WHERE leisure = 'park'
+        UNION ALL
+        SELECT fid, 2, 'MultiPolygon', round(area2::DOUBLE / 2 * {METERS} * {METERS} / 1e6, 0) FROM regions
+        WHERE park AND NOT broken""", "areas"),
     "q_way_alias": with_tables("""
         SELECT id AS fid, 0 AS type, 'Point' AS kind, 1 AS n_points FROM nodes
         UNION ALL

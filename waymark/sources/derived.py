@@ -158,7 +158,14 @@ def ring_tables(spark: SparkSession, path: str) -> OsmTables:
     its start), cut into 1, 2 or 4 outer ways; every fifth has a square hole.
     """
     k = F.col("c_custkey")
+    return _outlines(spark, path, x=(k % 1000) * 5000, y=F.expr("c_custkey DIV 1000 % 400000") * 5000)
+
+
+def _outlines(spark: SparkSession, path: str, x: Column, y: Column, scale: Column | None = None) -> OsmTables:
+    """Outlines with their lower left corner at x, y; ``scale`` stretches all but the gap."""
+    k = F.col("c_custkey")
     read = _reader(spark, path)
+    scale = F.lit(1) if scale is None else scale
 
     def customers() -> DataFrame:
         return read("customer").select("c_custkey", "c_name", (k % 3).alias("cut"), (k % 2).alias("odd"),
@@ -177,8 +184,8 @@ def ring_tables(spark: SparkSession, path: str) -> OsmTables:
                 .where(F.col("holed") | (F.col("role") == "outer"))
                 .select(way_id.alias("way_id"), F.col("place").cast("long").alias("seq"),
                         (way_id * 8 + F.col("place")).alias("node_id"),
-                        ((k % 1000) * 5000 + F.col("dx")).cast("int").alias("x"),
-                        (F.expr("c_custkey DIV 1000 % 400000") * 5000 + F.col("dy") + moved).cast("int").alias("y")))
+                        (x + F.col("dx") * scale).cast("int").alias("x"),
+                        (y + F.col("dy") * scale + moved).cast("int").alias("y")))
 
     return OsmTables(spark, {
         "nodes": lambda: points().select(F.col("node_id").alias("id"), "x", "y",
@@ -196,6 +203,38 @@ def ring_tables(spark: SparkSession, path: str) -> OsmTables:
     })
 
 
+# Ids of the area relations below, their ways and nodes lie so far under all others.
+FAR = 1 << 60
+# How wide the outlines of area relations are, in thousands of grid units, and where they start.
+WIDTH_FACTOR, WIDTH_LIMIT, CORNER = 48271, 2_000_000, -1_000_000_000
+
+
+def region_tables(spark: SparkSession, path: str) -> OsmTables:
+    """The derived tables and, besides their area ways, one area relation per customer.
+
+    These have outlines like those of ``ring_tables``, as wide as area ways
+    are; every fourth is a park.
+    """
+    k = F.col("c_custkey")
+    plain = derived_tables(spark, path)
+    width = k * WIDTH_FACTOR % WIDTH_LIMIT + 1
+    added = _outlines(spark, path, F.lit(CORNER), F.lit(CORNER), width)
+
+    def both(name: str, *ids: str, **more: Column):
+        def rows() -> DataFrame:
+            far = getattr(added, name).withColumns({c: F.col(c) - FAR for c in ids}).withColumns(more)
+            return getattr(plain, name).unionByName(far)
+        return rows
+
+    park = F.create_map(F.lit("leisure"), F.lit("park"))
+    tags = F.when(F.pmod(F.col("id"), F.lit(4)) == 1, F.map_concat("tags", park)).otherwise(F.col("tags"))
+    return OsmTables(spark, {
+        "nodes": both("nodes", "id"), "ways": both("ways", "id"),
+        "way_nodes": both("way_nodes", "way_id", "node_id"), "relations": both("relations", "id", tags=tags),
+        "relation_members": both("relation_members", "relation_id", "member_id"),
+    }, seq_span=PART_SPAN)
+
+
 # A prime that scatters the slots of the large ring's ways.
 SLOT_FACTOR, SLOT_PRIME = 48271, 2147483647
 
