@@ -10,11 +10,17 @@ results don't depend on it. Each index list is ordered by set size and holds the
 * Answers from answers: each list has a leader, its smallest set, against which all its members are verified, once for
   all lists. Members linked to a common leader are one component and need no test among each other. For others the
   leader's answers bound theirs: two sets share at most what both share with the leader plus what both have besides,
-  and at least what the leader's answers force. Pairs that these bounds and sketches of both sets leave open are
-  verified, in rounds, as long as their classes are not in one component.
+  and at least what the leader's answers force.
 
-So a group of near copies costs one comparison a member. What is left of lists longer than ``BLOCK`` is paired in parts
-by a hash of the signature; these parts have no bounds of their own, so none is skipped whole. Verification compares whole sets of 64-bit hashes. Components come from label rounds.
+Pairs that these bounds leave open are never written one by one: of a list's graph of open pairs, only a spanning forest
+is, which is fewer rows than the list has members. Classes joined by open pairs of any lists form a cluster, in which
+all open pairs lie. A cluster is cut by size into blocks; two blocks whose sizes are in reach meet in one task, which
+counts what whole sets share by an index of their shingles and gives out the links that join components, again a forest.
+
+So a group of near copies writes rows in proportion to its members, though members linked to no common leader are still
+compared with each other inside tasks. What is left of lists longer than ``BLOCK`` is paired in parts by a hash of the
+signature; these parts have no bounds of their own, so none is skipped whole. Verification compares whole sets of
+64-bit hashes. Components come from label rounds.
 
 Defined results: null and empty texts, and texts without words, have no set and are linked with nothing; fewer words
 than five are one shingle; rows with a null key take part and come last in the order; rows with equal keys are linked
@@ -43,7 +49,8 @@ COMMON_BITS = 26
 BITS = 23
 SEEN_BITS = 27
 OFTEN = 2
-ROUNDS = 3
+#: Classes of a cluster that meet those of another block, or each other, in one task.
+CLUSTER_BLOCK = 1024
 SETS_PER_BATCH = 500
 TEXTS_PER_BATCH = 1000
 _LAST = (1 << 63) - 1
@@ -235,27 +242,8 @@ def _list_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield rows(held, True)
 
 
-def sketch(hashes: np.ndarray) -> bytes:
-    """A bit for each leading-bits bucket that holds a hash, of two to four buckets a hash."""
-    size = max(6, int(2 * len(hashes) - 1).bit_length())
-    on = np.zeros(1 << size, bool)
-    on[(hashes >> np.uint64(64 - size)).astype(np.int64)] = True
-    return np.packbits(on).tobytes()
-
-
-def most_shared(n: int, a: bytes, m: int, b: bytes) -> int:
-    """What sets of n and m hashes can share at most, by their sketches: none in a bucket that the other lacks."""
-    x, y = (np.unpackbits(np.frombuffer(v, np.uint8)) for v in (a, b))
-    if len(x) > len(y):
-        x = x.reshape(len(y), -1).any(axis=1)
-    elif len(y) > len(x):
-        y = y.reshape(len(x), -1).any(axis=1)
-    both = int((x & y).sum())
-    return min(n - (int(x.sum()) - both), m - (int(y.sum()) - both))
-
-
 def _set_batches(wanted: np.ndarray):
-    """Signature, sketch and set, as bytes, of classes whose bit is set; one row of each class a chunk."""
+    """Signature, size and set, as bytes, of classes whose bit is set; one row of each class a chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,8 +255,7 @@ def _set_batches(wanted: np.ndarray):
                 sets = [hashes[bounds[k]:bounds[k + 1]] for k in first]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sig[first].view(np.int64)), pa.array([len(x) for x in sets], pa.int64()),
-                     pa.array([sketch(x) for x in sets], pa.binary()),
-                     pa.array([x.tobytes() for x in sets], pa.binary())], names=["sig", "size", "sketch", "held"])
+                     pa.array([x.tobytes() for x in sets], pa.binary())], names=["sig", "size", "held"])
 
     return run
 
@@ -281,15 +268,6 @@ def _wanted_batches(wanted: np.ndarray):
     return run
 
 
-def _prune_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        n, m = (batch.column(c).to_numpy() for c in (2, 3))
-        most = np.array([most_shared(*x) for x in zip(n.tolist(), batch.column(4).to_pylist(), m.tolist(),
-                                                      batch.column(5).to_pylist(), strict=True)], np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(
-            pa.array(most >= shared_at_least(n, m)))
-
-
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         shared, sizes = [], []
@@ -306,32 +284,24 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             names=["a", "b", "shared", "linked"])
 
 
-def _met(pairs: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
-    """``pairs`` with the columns of both sides' classes; classes without their bit are left out before a shuffle."""
-    bit = F.shiftrightunsigned("sig", 64 - BITS).alias("bit")
-    wanted = _bitmap(pairs.select(F.explode(F.array("a", "b")).alias("sig")).select(bit), "bit")
+def _classes(wanted: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
+    """``sig`` and the columns of the wanted classes, once each; others are left out before a shuffle, by a bitmap, but
+    for a few."""
+    bits = _bitmap(wanted.select(F.shiftrightunsigned("sig", 64 - BITS).alias("bit")), "bit")
     own = sets.select("sig", *columns)
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema)
-    own = own.mapInArrow(_wanted_batches(wanted), kinds).dropDuplicates(["sig"])
-    for side in ("b", "a"):
-        pairs = pairs.join(own.select(F.col("sig").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in columns]), side)
-    return pairs.select("a", "b", *[f"{c}_{side}" for c in columns for side in ("a", "b")])
+    return own.mapInArrow(_wanted_batches(bits), kinds).dropDuplicates(["sig"])
 
 
 def verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     """a, b (signatures), shared and linked of each pair, from the whole sets."""
-    return written(_met(pairs, sets, ["held"]).mapInArrow(
+    own = _classes(pairs.select(F.explode(F.array("a", "b")).alias("sig")), sets, ["held"])
+    for side in ("b", "a"):
+        pairs = pairs.join(own.select(F.col("sig").alias(side), F.col("held").alias(f"held_{side}")), side)
+    return written(pairs.select("a", "b", "held_a", "held_b").mapInArrow(
         _verify_batches, "a long, b long, shared long, linked boolean"), name)
 
 
-def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs whose sides are not in one component."""
-    for side in ("a", "b"):
-        pairs = pairs.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}")), side,
-                           "left")
-    return pairs.where(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b")
-
-
 def components(links: DataFrame, name: str = "labels") -> DataFrame:
     """node and label, the smallest node reachable, of every node of the links (a, b).
 
@@ -368,8 +338,19 @@ def merged(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
         "top")), "label", "left").select("node", F.coalesce("top", "label").alias("label")), f"{name}-all")
 
 
+def _joined(lab: np.ndarray, i: int, at: np.ndarray, into: int) -> np.ndarray:
+    """One member of ``at`` for each group of ``lab`` that is not i's; these groups and i's become ``into``."""
+    near, first = np.unique(lab[at], return_index=True)
+    new = near != lab[i]
+    out = at[first[new]]
+    if len(out):
+        lab[np.isin(lab, near) | (lab == lab[i])] = into
+    return out
+
+
 def _open_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a list's members in different components that neither position nor the leader's answers settle.
+    """Spanning forests of two graphs of a list: the pairs of members in different components that neither position nor
+    the leader's answers settle, and those that the answers force.
 
     Rows come sorted by list part; of a part that joins two blocks, only pairs across them are wanted.
     """
@@ -378,31 +359,34 @@ def _open_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     def pairs(columns):
         key = columns[0]
         edge = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        a_out, b_out, sure = [], [], []
+        a_out, b_out, forced_out = [], [], []
         for lo, hi in zip(edge, np.append(edge[1:], len(key)), strict=True):
             _, side, single, sig, n, pos, comp, with_lead, lead_n = (c[lo:hi] for c in columns)
             order = np.argsort(n, kind="stable")
             side, sig, n, pos, comp, with_lead = (c[order] for c in (side, sig, n, pos, comp, with_lead))
             last = np.searchsorted(n, n * DENOMINATOR // NUMERATOR, "right")
+            groups = np.arange(len(n)), np.arange(len(n))  # by forced pairs and by open ones
             for i in range(len(n)):
                 j = slice(i + 1, last[i])
                 least = shared_at_least(n[i], n[j])
                 use = (comp[j] != comp[i]) & (np.minimum(n[i] - pos[i], n[j] - pos[j]) >= least)
                 if not single[0]:
                     use &= side[j] != side[i]
+                forced = np.zeros(len(use), bool)
                 if with_lead[i] >= 0:
                     known = with_lead[j]
                     most = np.minimum(with_lead[i], known) + np.minimum(n[i] - with_lead[i], n[j] - known)
                     use &= (known < 0) | (most >= least)
-                at = np.flatnonzero(use)
-                if len(at):
-                    a_out.append(np.minimum(sig[j][at], sig[i]))
-                    b_out.append(np.maximum(sig[j][at], sig[i]))
-                    floor = with_lead[i] + with_lead[j][at] - lead_n[0]
-                    sure.append((with_lead[i] >= 0) & (with_lead[j][at] >= 0) & (floor >= least[at]))
+                    forced = (known >= 0) & (with_lead[i] + known - lead_n[0] >= least)
+                for lab, sure, ok in zip(groups, (True, False), (use & forced, use & ~forced), strict=True):
+                    at = _joined(lab, i, i + 1 + np.flatnonzero(ok), lab[i]) if ok.any() else ()
+                    if len(at):
+                        a_out.append(np.minimum(sig[at], sig[i]))
+                        b_out.append(np.maximum(sig[at], sig[i]))
+                        forced_out.append(np.full(len(at), sure))
         none = np.zeros(0, np.int64)
         a, b = np.concatenate((none, *a_out)), np.concatenate((none, *b_out))
-        forced = np.concatenate((np.zeros(0, bool), *sure))
+        forced = np.concatenate((np.zeros(0, bool), *forced_out))
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(forced)], names=["a", "b", "forced"])
 
     for batch in batches:
@@ -419,6 +403,82 @@ def _open_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pairs(held)
 
 
+def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links, a spanning forest, that join the components of each part's classes.
+
+    Rows are part, side, sig, comp and set, sorted by part; of a part that joins two blocks, only pairs across them count.
+    """
+
+    def links(rows):
+        side, sig, comp = (np.concatenate([r.column(c).to_numpy() for r in rows]) for c in (1, 2, 3))
+        value, lab, count = np.unique(comp, return_inverse=True, return_counts=True)
+        if len(value) == 1:
+            return []
+        sets = [np.frombuffer(v.as_buffer(), np.uint64) for r in rows for v in r.column(4)]
+        n = np.array([len(x) for x in sets], np.int64)
+        # an index: of each shingle, the members that hold it
+        bounds = np.concatenate(([0], np.cumsum(n)))
+        token = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        holder = owners(bounds)[np.argsort(token, kind="stable")]
+        begin = np.concatenate(([0], np.cumsum(np.bincount(token))))
+        # each pair across components has a side that is outside the largest one, or was when its turn came
+        most = int(count.argmax())
+        apart = side[0] != side[-1]
+        out = []
+        for i in np.flatnonzero(lab != most).tolist():
+            wanted = lab != lab[i]
+            if apart:
+                wanted &= side != side[i]
+            if lab[i] == most or not wanted.any():
+                continue
+            own = token[bounds[i]:bounds[i + 1]]
+            size = begin[own + 1] - begin[own]
+            own, size = own[size > 1], size[size > 1]
+            place = np.repeat(begin[own] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            shared = np.bincount(holder[place], minlength=len(n))
+            at = np.flatnonzero(wanted & (shared >= shared_at_least(n[i], n)))
+            if len(at):
+                joined = _joined(lab, i, at, most if (lab[at] == most).any() else int(lab[i]))
+                out += [(min(sig[i], sig[k]), max(sig[i], sig[k])) for k in joined]
+        return out
+
+    def table(out):
+        a, b = np.array(out, np.int64).reshape(-1, 2).T
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    held = []
+    for batch in batches:
+        part, out = batch.column(0).to_numpy(), []
+        edge = np.append(np.flatnonzero(np.append(True, part[1:] != part[:-1])[:len(part)]), len(part)).tolist()
+        for lo, hi in zip(edge[:-1], edge[1:], strict=True):
+            if held and held[-1].column(0)[0].as_py() != part[lo]:
+                out += links(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+        yield table(out)
+    if held:
+        yield table(links(held))
+
+
+def cluster_links(clusters: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b: links that join the labels of classes in one cluster (node, label), as few as a task needs."""
+    nodes = clusters.select(F.col("node").alias("sig"), F.col("label").alias("cluster"))
+    comps = labels.select(F.col("node").alias("sig"), F.col("label").alias("comp"))
+    placed = written(nodes.join(_classes(nodes, sets, ["size"]), "sig").join(comps, "sig", "left").select(
+        "sig", "cluster", F.coalesce("comp", "sig").alias("comp"), "size",
+        F.expr(f"CAST(row_number() OVER (PARTITION BY cluster ORDER BY size, sig) - 1 AS LONG) DIV {CLUSTER_BLOCK}").alias(
+            "block")), "placed")
+    spans = placed.groupBy("cluster", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    meet = spans.alias("s").join(spans.alias("t"), F.expr(
+        f"s.cluster = t.cluster AND s.block <= t.block AND {NUMERATOR} * t.low <= {DENOMINATOR} * s.high")).select(
+        "s.cluster", F.xxhash64("s.cluster", "s.block", "t.block").alias("part"), F.explode(F.array_distinct(
+            F.array("s.block", "t.block"))).alias("block"))
+    rows = placed.join(meet, ["cluster", "block"]).join(_classes(nodes, sets, ["held"]), "sig").select(
+        "part", F.col("block").alias("side"), "sig", "comp", "held")
+    return written(rows.repartition("part").sortWithinPartitions("part", "side").mapInArrow(
+        _link_batches, "a long, b long"), "links")
+
+
 def labels_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
     """node and label, the smallest linked class, of every class that has links."""
     postings = texts.select("text").mapInArrow(_posting_batches(common), "token long, sig long, n int, pos int")
@@ -434,7 +494,7 @@ def labels_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
     bit = F.shiftrightunsigned("sig", 64 - BITS).alias("bit")
     sets = written(texts.select("text").mapInArrow(_set_batches(_bitmap(
         lists.select(F.explode("sigs").alias("sig")).select(bit), "bit")),
-        "sig long, size long, sketch binary, held binary"), "sets")
+        "sig long, size long, held binary"), "sets")
     answers = verified(pairs, sets, "answers")
     labels = components(answers.where("linked"), "led-labels")
     # lists of two are settled; of others, those whose members are in more than one component are left
@@ -459,24 +519,10 @@ def labels_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
     rows = rows.withColumn("single", F.col("single") | F.col("self")).drop("self")
     # members of the part of a block with itself are alone there; parts of two blocks hold both
     opened = written(rows.repartition("part").sortWithinPartitions("part").mapInArrow(
-        _open_batches, "a long, b long, forced boolean").groupBy("a", "b").agg(F.max("forced").alias("forced")),
-        "open")
+        _open_batches, "a long, b long, forced boolean").distinct(), "open")
     labels = merged(labels, opened.where("forced").select("a", "b"), "forced")
-    left = written(across(opened.where("NOT forced").select("a", "b"), labels), "apart")
-    left = written(_met(left, sets, ["size", "sketch"]).mapInArrow(_prune_batches, "a long, b long"), "left")
-    # one partner a class and round, as links make most of the other pairs needless; then whatever is left
-    for n in range(ROUNDS):
-        if left.isEmpty():
-            break
-        if n + 1 < ROUNDS:
-            tried = written(left.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "tried")
-            left = left.join(tried, ["a", "b"], "left_anti")
-        else:
-            tried = left
-        labels = merged(labels, verified(tried, sets, "more").where("linked").select("a", "b"), f"round-{n}")
-        if n + 1 < ROUNDS:
-            left = written(across(left, labels), "left")
-    return labels
+    clusters = components(opened.where("NOT forced").select("a", "b"), "clusters")
+    return merged(labels, cluster_links(clusters, labels, sets), "linked")
 
 
 def _key(key: str) -> Column:
