@@ -12,6 +12,11 @@ results don't depend on it. Each index list is ordered by set size and holds the
   leader's answers bound theirs: two sets share at most what both share with the leader plus what both have besides,
   and at least what the leader's answers force.
 
+* Sketches: a bit for each place says whether a set has an odd number of shingles there, so two sets differ by at least as
+  many shingles as their sketches do by bits. That settles pairs that met by chance, of which there are more than in
+  proportion to the input, without their sets: a leader's whole set only meets those of the members that its sketch
+  leaves open, and only such pairs of a list are open.
+
 Pairs that these bounds leave open are never written one by one: of a list's graph of open pairs, only a spanning forest
 is, which is fewer rows than the list has members. Classes joined by open pairs of any lists form a cluster, in which
 all open pairs lie. A cluster is cut by size into blocks; two blocks whose sizes are in reach meet in one task, which
@@ -20,7 +25,8 @@ counts what whole sets share by an index of their shingles and gives out the lin
 So a group of near copies writes rows in proportion to its members, though members linked to no common leader are still
 compared with each other inside tasks. What is left of lists longer than ``BLOCK`` is paired in parts by a hash of the
 signature; these parts have no bounds of their own, so none is skipped whole. Verification compares whole sets of
-64-bit hashes. Components come from label rounds.
+64-bit hashes; sets are written for the classes of pairs to verify alone, first for leaders, then for clusters, and
+deleted after. Components come from label rounds.
 
 Defined results: null and empty texts, and texts without words, have no set and are linked with nothing; fewer words
 than five are one shingle; rows with a null key take part and come last in the order; rows with equal keys are linked
@@ -37,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.tables import small_batches, written
+from waymark.llm.tables import freed_shuffles, scratch, small_batches, written
 from waymark.llm.text import Chunk, chunks, mixed, owners, shingles
 
 WORDS = 5
@@ -49,6 +55,8 @@ COMMON_BITS = 26
 BITS = 23
 SEEN_BITS = 27
 OFTEN = 2
+#: Bits of a sketch, at most; it has as many as the set has shingles, or up to twice as many.
+SKETCH_BITS = 1 << 13
 #: Classes of a cluster that meet those of another block, or each other, in one task.
 CLUSTER_BLOCK = 1024
 SETS_PER_BATCH = 500
@@ -101,9 +109,30 @@ def signatures(run: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(n > 0, mixed(total[bounds[1:]] - total[bounds[:-1]] + n.astype(np.uint64)), np.uint64(0))
 
 
+def sketches(run: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Of each set, which places an odd number of its shingles falls on."""
+    bits = np.clip(1 << np.ceil(np.log2(np.maximum(np.diff(bounds), 1))).astype(np.int64), 64, SKETCH_BITS)
+    edge, own = np.concatenate(([0], np.cumsum(bits))), owners(bounds)
+    place = edge[own] + (run & (bits[own] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits(np.bincount(place, minlength=edge[-1]) & 1 > 0, bitorder="little")
+    return [packed[a:b].tobytes() for a, b in zip((edge[:-1] // 8).tolist(), (edge[1:] // 8).tolist(), strict=True)]
+
+
+def most_shared(n, m, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """What sets of n and m shingles share at most, by their sketches, arrays of 64-bit numbers, of which y may be rows."""
+    while x.shape[-1] != y.shape[-1]:  # the longer one's halves fall on the same places in the shorter one
+        if x.shape[-1] > y.shape[-1]:
+            x = x[..., :x.shape[-1] // 2] ^ x[..., x.shape[-1] // 2:]
+        else:
+            y = y[..., :y.shape[-1] // 2] ^ y[..., y.shape[-1] // 2:]
+    return (n + m - np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)) // 2
+
+
 def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Key, size and signature of each document; and rows of size -1 with bitmap positions of common shingles."""
+    """Key, size and signature of each document, and a sketch of each set once a chunk; and rows of size -1 with bitmap
+    positions of common shingles."""
     seen = np.zeros(1 << SEEN_BITS - 3, np.uint8)
+    names = ["doc", "text_hash", "n", "sig", "sketch"]
 
     def common(run):
         """Shingles of this chunk's different sets that two of them hold, or one of an earlier chunk."""
@@ -114,19 +143,23 @@ def _class_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         np.bitwise_or.at(seen, place, bit)
         bit = np.unique(value[again] >> np.uint64(64 - COMMON_BITS)).astype(np.int64)
         zero = pa.array(np.zeros(len(bit), np.int64))
-        return pa.RecordBatch.from_arrays([zero, zero, pa.array(np.full(len(bit), -1)), pa.array(bit)],
-                                          names=["doc", "text_hash", "n", "sig"])
+        return pa.RecordBatch.from_arrays([zero, zero, pa.array(np.full(len(bit), -1)), pa.array(bit),
+                                           pa.nulls(len(bit), pa.binary())], names=names)
 
     for batch in batches:
         for chunk in chunks(batch.column(1)):
             run, bounds = sets_of(chunk)
             doc, text_hash = (batch.column(c).slice(chunk.first, chunk.n) for c in (0, 2))
-            sig = signatures(run, bounds)
-            yield pa.RecordBatch.from_arrays([doc, text_hash, pa.array(np.diff(bounds)), pa.array(sig.view(np.int64))],
-                                             names=["doc", "text_hash", "n", "sig"])
+            sig, n = signatures(run, bounds), np.diff(bounds)
             first = np.zeros(chunk.n, bool)
             first[_first_of_class(sig)] = True
-            yield common(run[first[owners(bounds)]])
+            run = run[first[owners(bounds)]]
+            sketch = np.full(chunk.n, None, object)
+            sketch[first] = np.array([*sketches(run, np.concatenate(([0], np.cumsum(n[first])))), None], object)[:-1]
+            sketch[n == 0] = None
+            yield pa.RecordBatch.from_arrays([doc, text_hash, pa.array(n), pa.array(sig.view(np.int64)),
+                                              pa.array(sketch, pa.binary())], names=names)
+            yield common(run)
 
 
 def _bitmap(positions: DataFrame, column: str, n_bits: int = BITS) -> np.ndarray:
@@ -246,7 +279,7 @@ def _set_batches(wanted: np.ndarray):
     """Signature, size and set, as bytes, of classes whose bit is set; one row of each class a chunk."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches if wanted.any() else ():
             for chunk in chunks(batch.column(0)):
                 hashes, bounds = sets_of(chunk)
                 sig = signatures(hashes, bounds)
@@ -260,12 +293,13 @@ def _set_batches(wanted: np.ndarray):
     return run
 
 
-def _wanted_batches(wanted: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_on(wanted, batch.column(0).to_numpy().view(np.uint64))))
-
-    return run
+def _sketch_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Those pairs a, b (sizes n and m, sketches x and y) that may reach the threshold."""
+    for batch in batches:
+        n, m = (batch.column(c).to_numpy() for c in (2, 3))
+        x, y = ([np.frombuffer(v.as_buffer(), np.uint64) for v in batch.column(c)] for c in (4, 5))
+        most = np.array([most_shared(*row) for row in zip(n, m, x, y, strict=True)], np.int64)
+        yield batch.select(["a", "b"]).filter(pa.array(most >= shared_at_least(n, m)))
 
 
 def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,58 +318,62 @@ def _verify_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             names=["a", "b", "shared", "linked"])
 
 
-def _classes(wanted: DataFrame, sets: DataFrame, columns: list[str]) -> DataFrame:
-    """``sig`` and the columns of the wanted classes, once each; others are left out before a shuffle, by a bitmap, but
-    for a few."""
+def _sets(wanted: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
+    """``sig`` and the set of the wanted classes, once each, and of a few others."""
     bits = _bitmap(wanted.select(F.shiftrightunsigned("sig", 64 - BITS).alias("bit")), "bit")
-    own = sets.select("sig", *columns)
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in own.schema)
-    return own.mapInArrow(_wanted_batches(bits), kinds).dropDuplicates(["sig"])
-
-
-def verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
-    """a, b (signatures), shared and linked of each pair, from the whole sets."""
-    own = _classes(pairs.select(F.explode(F.array("a", "b")).alias("sig")), sets, ["held"])
-    for side in ("b", "a"):
-        pairs = pairs.join(own.select(F.col("sig").alias(side), F.col("held").alias(f"held_{side}")), side)
-    return written(pairs.select("a", "b", "held_a", "held_b").mapInArrow(
-        _verify_batches, "a long, b long, shared long, linked boolean"), name)
-
-
-def components(links: DataFrame, name: str = "labels") -> DataFrame:
+    return written(texts.select("text").mapInArrow(_set_batches(bits), "sig long, size long, held binary"), "sets",
+                   folder).select("sig", "held").dropDuplicates(["sig"])
+
+
+def verified(pairs: DataFrame, sketched: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
+    """a, b (signatures), shared and linked, from the whole sets, of each pair that the sketches leave open."""
+    with scratch(texts.sparkSession, "verify") as inner:
+        for side, size, sketch in (("b", "m", "y"), ("a", "n", "x")):
+            pairs = pairs.join(sketched.select(F.col("sig").alias(side), F.col("n").alias(size), F.col("sketch").alias(
+                sketch)), side)
+        pairs = written(pairs.select("a", "b", "n", "m", "x", "y").mapInArrow(_sketch_batches, "a long, b long"), "near",
+                        inner)
+        own = _sets(pairs.select(F.explode(F.array("a", "b")).alias("sig")), texts, inner)
+        for side in ("b", "a"):
+            pairs = pairs.join(own.select(F.col("sig").alias(side), F.col("held").alias(f"held_{side}")), side)
+        return written(pairs.select("a", "b", "held_a", "held_b").mapInArrow(
+            _verify_batches, "a long, b long, shared long, linked boolean"), "answers", folder)
+
+
+def components(links: DataFrame, name: str = "labels", folder: str | None = None) -> DataFrame:
     """node and label, the smallest node reachable, of every node of the links (a, b).
 
     Each round takes the smallest label of the neighbours and then the label of that label; labels only fall, and
     the rounds end when none does.
     """
-    both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{name}-edges")
+    both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), f"{name}-edges", folder)
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select(
-        "node", F.least("node", "m").alias("label")), name)
+        "node", F.least("node", "m").alias("label")), name, folder)
     while True:
         near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(
             F.min("label").alias("m"))
         fallen = labels.join(near, "node").select("node", "label", F.least("label", "m").alias("next"))
         jumped = fallen.join(labels.select(F.col("node").alias("next"), F.col("label").alias("far")), "next").select(
             "node", F.least("next", "far").alias("new"), (F.least("next", "far") < F.col("label")).alias("moved"))
-        done = written(jumped, name)
+        done = written(jumped, name, folder)
         moved = done.where("moved").limit(1).count()
         labels = done.select("node", F.col("new").alias("label"))
         if not moved:
             return labels
 
 
-def merged(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
+def merged(labels: DataFrame, links: DataFrame, name: str, folder: str) -> DataFrame:
     """The labels once the links (a, b) are added: the links join labels, so only those go through new rounds."""
     for side in ("a", "b"):
         links = links.join(labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}")), side,
                            "left")
     placed = written(links.select("a", "b", F.coalesce("label_a", "a").alias("x"), F.coalesce("label_b", "b").alias(
-        "y")), f"{name}-placed")
-    higher = components(placed.where("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")), name)
+        "y")), f"{name}-placed", folder)
+    higher = components(placed.where("x != y").select(F.col("x").alias("a"), F.col("y").alias("b")), name, folder)
     own = placed.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.col("x").alias("label")), F.struct(
         F.col("b").alias("node"), F.col("y").alias("label")))).alias("s")).select("s.node", "s.label")
     return written(labels.union(own).distinct().join(higher.select(F.col("node").alias("label"), F.col("label").alias(
-        "top")), "label", "left").select("node", F.coalesce("top", "label").alias("label")), f"{name}-all")
+        "top")), "label", "left").select("node", F.coalesce("top", "label").alias("label")), f"{name}-all", folder)
 
 
 def _joined(lab: np.ndarray, i: int, at: np.ndarray, into: int) -> np.ndarray:
@@ -352,17 +390,37 @@ def _open_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     """Spanning forests of two graphs of a list: the pairs of members in different components that neither position nor
     the leader's answers settle, and those that the answers force.
 
-    Rows come sorted by list part; of a part that joins two blocks, only pairs across them are wanted.
+    Rows come sorted by list part; of a part that joins two blocks, only pairs across them are wanted. A last column, if
+    there, holds sketches, which settle more pairs.
     """
     held = None
 
+    def near(i, at, n, tables):
+        """Those of ``at`` that may reach the threshold with i, by the sketches of each length and the rows in them."""
+        size, row, table = tables
+        out = []
+        for k in np.unique(size[at]).tolist():
+            own = at[size[at] == k]
+            out.append(own[most_shared(n[i], n[own], table[size[i]][row[i]], table[k][row[own]]) >= shared_at_least(
+                n[i], n[own])])
+        return np.sort(np.concatenate(out))
+
+    def by_length(sketch):
+        size, row, table = np.array([len(x) for x in sketch]), np.zeros(len(sketch), np.int64), {}
+        for k in np.unique(size).tolist():
+            at = np.flatnonzero(size == k)
+            row[at] = np.arange(len(at))
+            table[k] = np.frombuffer(b"".join(sketch[at]), np.uint64).reshape(len(at), k // 8)
+        return size, row, table
+
     def pairs(columns):
         key = columns[0]
         edge = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         a_out, b_out, forced_out = [], [], []
         for lo, hi in zip(edge, np.append(edge[1:], len(key)), strict=True):
-            _, side, single, sig, n, pos, comp, with_lead, lead_n = (c[lo:hi] for c in columns)
+            _, side, single, sig, n, pos, comp, with_lead, lead_n = (c[lo:hi] for c in columns[:9])
             order = np.argsort(n, kind="stable")
+            sketch, tables = columns[9][lo:hi][order] if len(columns) > 9 else None, None
             side, sig, n, pos, comp, with_lead = (c[order] for c in (side, sig, n, pos, comp, with_lead))
             last = np.searchsorted(n, n * DENOMINATOR // NUMERATOR, "right")
             groups = np.arange(len(n)), np.arange(len(n))  # by forced pairs and by open ones
@@ -379,7 +437,13 @@ def _open_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     use &= (known < 0) | (most >= least)
                     forced = (known >= 0) & (with_lead[i] + known - lead_n[0] >= least)
                 for lab, sure, ok in zip(groups, (True, False), (use & forced, use & ~forced), strict=True):
-                    at = _joined(lab, i, i + 1 + np.flatnonzero(ok), lab[i]) if ok.any() else ()
+                    at = i + 1 + np.flatnonzero(ok)
+                    if not sure and sketch is not None:
+                        at = at[lab[at] != lab[i]]
+                        if len(at):
+                            tables = tables or by_length(sketch)
+                            at = near(i, at, n, tables)
+                    at = _joined(lab, i, at, lab[i]) if len(at) else ()
                     if len(at):
                         a_out.append(np.minimum(sig[at], sig[i]))
                         b_out.append(np.maximum(sig[at], sig[i]))
@@ -460,69 +524,72 @@ def _link_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield table(links(held))
 
 
-def cluster_links(clusters: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+def cluster_links(clusters: DataFrame, labels: DataFrame, sketched: DataFrame, texts: DataFrame, folder: str) -> DataFrame:
     """a, b: links that join the labels of classes in one cluster (node, label), as few as a task needs."""
     nodes = clusters.select(F.col("node").alias("sig"), F.col("label").alias("cluster"))
     comps = labels.select(F.col("node").alias("sig"), F.col("label").alias("comp"))
-    placed = written(nodes.join(_classes(nodes, sets, ["size"]), "sig").join(comps, "sig", "left").select(
-        "sig", "cluster", F.coalesce("comp", "sig").alias("comp"), "size",
-        F.expr(f"CAST(row_number() OVER (PARTITION BY cluster ORDER BY size, sig) - 1 AS LONG) DIV {CLUSTER_BLOCK}").alias(
-            "block")), "placed")
-    spans = placed.groupBy("cluster", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
-    meet = spans.alias("s").join(spans.alias("t"), F.expr(
-        f"s.cluster = t.cluster AND s.block <= t.block AND {NUMERATOR} * t.low <= {DENOMINATOR} * s.high")).select(
-        "s.cluster", F.xxhash64("s.cluster", "s.block", "t.block").alias("part"), F.explode(F.array_distinct(
-            F.array("s.block", "t.block"))).alias("block"))
-    rows = placed.join(meet, ["cluster", "block"]).join(_classes(nodes, sets, ["held"]), "sig").select(
-        "part", F.col("block").alias("side"), "sig", "comp", "held")
-    return written(rows.repartition("part").sortWithinPartitions("part", "side").mapInArrow(
-        _link_batches, "a long, b long"), "links")
-
-
-def labels_of(texts: DataFrame, common: np.ndarray) -> DataFrame:
-    """node and label, the smallest linked class, of every class that has links."""
+    with scratch(texts.sparkSession, "clustered") as inner:
+        placed = written(nodes.join(sketched.select("sig", F.col("n").alias("size")), "sig").join(comps, "sig", "left").select(
+            "sig", "cluster", F.coalesce("comp", "sig").alias("comp"), "size",
+            F.expr(f"CAST(row_number() OVER (PARTITION BY cluster ORDER BY size, sig) - 1 AS LONG) DIV {CLUSTER_BLOCK}").alias(
+                "block")), "placed", inner)
+        spans = placed.groupBy("cluster", "block").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+        meet = spans.alias("s").join(spans.alias("t"), F.expr(
+            f"s.cluster = t.cluster AND s.block <= t.block AND {NUMERATOR} * t.low <= {DENOMINATOR} * s.high")).select(
+            "s.cluster", F.xxhash64("s.cluster", "s.block", "t.block").alias("part"), F.explode(F.array_distinct(
+                F.array("s.block", "t.block"))).alias("block"))
+        rows = placed.join(meet, ["cluster", "block"]).join(_sets(nodes, texts, inner), "sig").select(
+            "part", F.col("block").alias("side"), "sig", "comp", "held")
+        return written(rows.repartition("part").sortWithinPartitions("part", "side").mapInArrow(
+            _link_batches, "a long, b long"), "links", folder)
+
+
+def labels_of(texts: DataFrame, common: np.ndarray, sketched: DataFrame) -> DataFrame:
+    """node and label, the smallest linked class, of every class that has links; ``sketched`` has sig, n and sketch."""
+    with scratch(texts.sparkSession, "labels-of") as folder:
+        return written(_labels_of(texts, common, sketched, folder), "labels")
+
+
+def _labels_of(texts: DataFrame, common: np.ndarray, sketched: DataFrame, folder: str) -> DataFrame:
     postings = texts.select("text").mapInArrow(_posting_batches(common), "token long, sig long, n int, pos int")
     lists = written(postings.repartition("token").sortWithinPartitions("token", "n", "sig").mapInArrow(
-        _list_batches, LIST), "lists")
+        _list_batches, LIST), "lists", folder)
     members = lists.select("token", "lead", "lead_n", "lead_pos", F.explode(F.arrays_zip("sigs", "ns", "poss")).alias(
         "m")).select("token", "lead", "lead_n", "lead_pos", F.col("m.sigs").alias("sig"), F.col("m.ns").alias("n"),
                      F.col("m.poss").alias("pos"))
     least = F.ceil(NUMERATOR * (F.col("n") + F.col("lead_n")) / (NUMERATOR + DENOMINATOR))
     close = F.least(F.col("n") - F.col("pos"), F.col("lead_n") - F.col("lead_pos")) >= least
     pairs = written(members.where(close & (F.col("sig") != F.col("lead"))).select(
-        F.col("lead").alias("a"), F.col("sig").alias("b")).distinct(), "led")
-    bit = F.shiftrightunsigned("sig", 64 - BITS).alias("bit")
-    sets = written(texts.select("text").mapInArrow(_set_batches(_bitmap(
-        lists.select(F.explode("sigs").alias("sig")).select(bit), "bit")),
-        "sig long, size long, held binary"), "sets")
-    answers = verified(pairs, sets, "answers")
-    labels = components(answers.where("linked"), "led-labels")
+        F.col("lead").alias("a"), F.col("sig").alias("b")).distinct(), "led", folder)
+    sketched = written(sketched.dropDuplicates(["sig"]), "sketches", folder)
+    answers = verified(pairs, sketched, texts, folder)
+    labels = components(answers.where("linked"), "led-labels", folder)
     # lists of two are settled; of others, those whose members are in more than one component are left
     totals = lists.groupBy("token").agg(F.max("total").alias("total")).where("total > 2")
     left = members.join(totals, "token").join(labels.withColumnRenamed("node", "sig"), "sig", "left").withColumn(
         "comp", F.coalesce("label", "sig"))
     mixed_up = written(left.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y"),
                                                  F.max("total").alias("total")).where("x != y").select("token"),
-                       "mixed")
+                       "mixed", folder)
     known = answers.select(F.col("a").alias("lead"), F.col("b").alias("sig"), "shared")
     parts = F.ceil(F.col("total") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("sig"), parts).cast("int")
     rows = left.join(mixed_up, "token", "left_semi").join(known, ["lead", "sig"], "left").withColumns(
         {"parts": parts, "own": own}).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    rows = rows.select(
+    rows = rows.join(sketched.select("sig", "sketch"), "sig").select(
         F.xxhash64("token", F.least("own", "other"), F.greatest("own", "other")).alias("part"),
         F.col("own").cast("long").alias("side"),
         (F.col("parts") == 1).alias("single"), "sig", F.col("n").cast("long").alias("n"),
         F.col("pos").cast("long").alias("pos"), "comp",
         F.when(F.col("sig") == F.col("lead"), F.col("n")).otherwise(F.coalesce("shared", F.lit(-1))).cast("long").alias(
-            "with_lead"), F.col("lead_n").cast("long").alias("lead_n"), (F.col("own") == F.col("other")).alias("self"))
+            "with_lead"), F.col("lead_n").cast("long").alias("lead_n"), "sketch", (F.col("own") == F.col("other")).alias("self"))
     rows = rows.withColumn("single", F.col("single") | F.col("self")).drop("self")
     # members of the part of a block with itself are alone there; parts of two blocks hold both
     opened = written(rows.repartition("part").sortWithinPartitions("part").mapInArrow(
-        _open_batches, "a long, b long, forced boolean").distinct(), "open")
-    labels = merged(labels, opened.where("forced").select("a", "b"), "forced")
-    clusters = components(opened.where("NOT forced").select("a", "b"), "clusters")
-    return merged(labels, cluster_links(clusters, labels, sets), "linked")
+        _open_batches, "a long, b long, forced boolean").distinct(), "open", folder)
+    labels = merged(labels, opened.where("forced").select("a", "b"), "forced", folder)
+    clusters = components(opened.where("NOT forced").select("a", "b"), "clusters", folder)
+    return merged(labels, cluster_links(clusters, labels, sketched, texts, folder), "linked", folder)
 
 
 def _key(key: str) -> Column:
@@ -536,12 +603,14 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     """
     texts = docs.select(_key(key).alias("doc"), F.col(f"`{text}`").cast("binary").alias("text"),
                         F.xxhash64(F.col(f"`{text}`").cast("binary")).alias("text_hash"))
-    with small_batches(docs.sparkSession, TEXTS_PER_BATCH):
-        found = written(texts.mapInArrow(_class_batches, "doc long, text_hash long, n long, sig long"), "classes")
+    spark = docs.sparkSession
+    with small_batches(spark, TEXTS_PER_BATCH):
+        found = written(texts.mapInArrow(_class_batches, "doc long, text_hash long, n long, sig long, sketch binary"),
+                        "classes")
     common = _bitmap(found.where("n = -1").select(F.col("sig").alias("bit")), "bit", COMMON_BITS)
-    classes = found.where("n >= 0")
-    with small_batches(docs.sparkSession, SETS_PER_BATCH):
-        labels = labels_of(texts, common)
+    classes = found.where("n >= 0").drop("sketch")
+    with small_batches(spark, SETS_PER_BATCH), freed_shuffles(spark):
+        labels = labels_of(texts, common, found.where("sketch IS NOT NULL").select("sig", "n", "sketch"))
     salted = classes.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
     by_salt = salted.where("n > 0").groupBy("sig", "salt").agg(F.min("doc").alias("first"))
     firsts = by_salt.groupBy("sig").agg(F.min("first").alias("first"), F.collect_list("salt").alias("salts"))
